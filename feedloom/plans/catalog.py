@@ -1,0 +1,4 @@
+"""The registry of queries and their SQL."""
+
+QUERIES = {}
+ORACLE = {}
