@@ -70,17 +70,17 @@ def fresh(names: Iterable[str], stem: str) -> str:
     return next(n for i in range(len(taken) + 1) if (n := f"{stem}{i or ''}").lower() not in taken)
 
 
-def group_facts(df: DataFrame, keys: list[str], spread: Column, aggs: dict[str, tuple[Callable, Column]], salts: int = 64) -> tuple[DataFrame, DataFrame]:
-    """(salted rows, facts per (key, salt)): join the two on keys + ``_salt`` to give rows their group's facts.
+def group_facts(df: DataFrame, keys: list[str], spread: Column, aggs: dict[str, tuple[Callable, Column]], salts: int = 64, salt: str = "_salt") -> tuple[DataFrame, DataFrame]:
+    """(salted rows, facts per (key, salt)): join the two on keys + salt to give rows their group's facts.
 
     A hot key is dealt out to ``salts`` tasks by ``spread`` on both sides: the facts are first reduced per
     (key, salt), then per key, and repeated only for the salts that occur. ``aggs`` maps a name to
     (aggregate function, column); the function must be able to combine its own results (min, max, sum).
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    part = salted.groupBy(*keys, "_salt").agg(*(f(c).alias(n) for n, (f, c) in aggs.items()))
-    whole = part.groupBy(*keys).agg(*(f(F.col(n)).alias(n) for n, (f, _) in aggs.items()), F.collect_list("_salt").alias("_salts"))
-    return salted, whole.withColumn("_salt", F.explode("_salts")).drop("_salts")
+    salted = df.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    part = salted.groupBy(*keys, salt).agg(*(f(c).alias(n) for n, (f, c) in aggs.items()))
+    whole = part.groupBy(*keys).agg(*(f(F.col(n)).alias(n) for n, (f, _) in aggs.items()), F.collect_list(salt).alias("_salts"))
+    return salted, whole.withColumn(salt, F.explode("_salts")).drop("_salts")
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -154,7 +154,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         size = max(n, 1 << 16)
         with np.errstate(over="ignore"):
             for name, b in (("up", int(_BASE)), ("down", pow(int(_BASE), -1, 1 << 64))):
-                _POWERS[name] = np.cumprod(np.concatenate([[1], np.full(size - 1, b, np.uint64)]).astype(np.uint64), dtype=np.uint64)
+                _POWERS[name] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)]), dtype=np.uint64)
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 

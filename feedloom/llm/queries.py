@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, quality
+from . import bpe, exact_dedup, licenses, mixing, near_dedup, quality, urls
 from .common import table
 
 SP = r"[\x20\x09-\x0D]"
@@ -27,9 +27,58 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_bpe": op3_bpe, "op4_quality_rules": op4_quality_rules, "op9_exact_dedup": op9_exact_dedup}
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
+def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), facts=True)
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft")
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+QUERIES = {"op1_near_dedup": op1_near_dedup, "op2_mix": op2_mix, "op5_url_filter": op5_url_filter, "op10_license_scan": op10_license_scan, "op3_bpe": op3_bpe, "op4_quality_rules": op4_quality_rules, "op9_exact_dedup": op9_exact_dedup}
+
+_HOST = "translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LOW = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _counted(terms: list[str]) -> str:
+    return " + ".join(f"(regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)'))::int" for t in terms)
+
+
+def _rules_sql() -> str:
+    out = "case"
+    for h, p, v in sorted(urls.RULES, key=lambda r: -len(r[0] + r[1])):
+        out += f" when (host = '{h}' or suffix(host, '.{h}')) and prefix(path, '{p}') then '{h}{p}'"
+    return out + " end"
+
+
+def _verdict_sql() -> str:
+    return "case rule " + " ".join(f"when '{h}{p}' then '{v}'" for h, p, v in urls.RULES) + f" else case when n_strict >= 1 or n_soft >= {urls.SOFT_HITS} then 'block' else 'allow' end end"
+
 
 ORACLE = {
+    "op5_url_filter": f"""
+        with u as (select page_id, {_HOST} as host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path, {_LOW} as low from pages),
+        r as (select *, {_rules_sql()} as rule, ({_counted(urls.STRICT_TERMS)})::bigint as n_strict, ({_counted([t for t in urls.SOFT_TERMS if t not in urls.STRICT_TERMS])})::bigint as n_soft from u)
+        select page_id, host, path, rule, {_verdict_sql()} as verdict, n_strict, n_soft from r""",
+    "op2_mix": """
+        with n as (select coalesce(source, '') as s, count(*) as n from documents group by 1),
+        r as (select s, (select sum(n) from n)::double / (select count(*) from n) / n as rate from n),
+        c as (select s, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) over (partition by s order by k) as cdf
+              from r, (select unnest(range(0, 200)) as k) where k <= rate + 12 * sqrt(rate) + 30),
+        u as (select *, (('0x' || md5('0:' || coalesce(doc_id::varchar, '~'))[1:13])::bigint)::double / 4503599627370496 as u from documents),
+        d as (select u.*, (select count(*) from c where c.s = coalesce(u.source, '') and cdf <= u) as repetitions from u)
+        select d.* exclude (u), rate as mean_rate, md5('order 0:' || coalesce(doc_id::varchar, '~') || ':' || replica)[1:16] as shuffle_key
+        from (select *, unnest(range(0, repetitions)) as replica from d) d join r on r.s = coalesce(d.source, '')""",
     "op9_exact_dedup": f"""
         with d as (select doc_id, length(coalesce(text, '')) as n, sha256(regexp_replace(coalesce(text, ''), '{SP}+', '', 'g')) as h from documents)
         select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition by h) as group_size,
