@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, licenses, mixing, near_dedup, quality, toxicity, urls
+from . import bpe, exact_dedup, langid, licenses, mixing, near_dedup, quality, substring, toxicity, urls
 from .common import table
 
 SP = r"[\x20\x09-\x0D]"
@@ -44,6 +44,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -59,7 +64,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op7_toxicity": op7_toxicity, "op8_language_id": op8_language_id, "op1_near_dedup": op1_near_dedup, "op2_mix": op2_mix, "op5_url_filter": op5_url_filter, "op10_license_scan": op10_license_scan, "op3_bpe": op3_bpe, "op4_quality_rules": op4_quality_rules, "op9_exact_dedup": op9_exact_dedup}
+QUERIES = {"op6_substring_dedup": op6_substring_dedup, "op7_toxicity": op7_toxicity, "op8_language_id": op8_language_id, "op1_near_dedup": op1_near_dedup, "op2_mix": op2_mix, "op5_url_filter": op5_url_filter, "op10_license_scan": op10_license_scan, "op3_bpe": op3_bpe, "op4_quality_rules": op4_quality_rules, "op9_exact_dedup": op9_exact_dedup}
 
 _HOST = "translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _LOW = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
