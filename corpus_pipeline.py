@@ -1,8 +1,61 @@
 """The corpus pipeline: quality rules, exact dedup, near-duplicate removal, source mixing, tokenising."""
 
-STAGES = []
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from feedloom.llm import bpe, exact_dedup, mixing, near_dedup, quality
+from feedloom.llm.common import Scratch, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that fail the base rules, and those that fail a soft rule on a strict host."""
+    return quality.keep_good(docs)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each text, white space aside."""
+    return exact_dedup.exact_dedup(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each near-duplicate class."""
+    return near_dedup.near_dedup(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats documents by Poisson counts so that all sources weigh the same, in a random order."""
+    return mixing.mix(docs)
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The columns of documents but the text, with its ids, their number, and whether they decode to the text."""
+    coded = bpe.encode(docs.withColumn("_text", F.col("text")), public_tokenizers.path("byte_bpe_50k.json"), decoded=True)
+    return coded.select(
+        *(c for c in docs.columns if c != "text"),
+        (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
+        "ids",
+        F.col("decoded").eqNullSafe(F.coalesce("_text", F.lit(""))).alias("round_trip"),
+    )
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("exact_dedup", exact_copies),
+    ("near_dedup", near_copies),
+    ("source_mixing", source_mixing),
+    ("bpe", tokenise),
+]
+
+#: Weighted-sampling classes are not expressible in SQL; tests compare run() with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applies STAGES to documents; each but the last is written to the shared folder and read again."""
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
+    for _, stage in STAGES[:-1]:
+        docs = scratch.keep(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
