@@ -1,4 +1,567 @@
-"""The registry of queries and their SQL."""
+"""The registry of queries and their SQL. Each query binds an operator to the closest table, whole."""
 
-QUERIES = {}
-ORACLE = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from feedloom import schemas
+from feedloom.functions import text, time, url
+from feedloom.operators import dedup, digest, html, report, search, select, similar, store
+from feedloom.plans import daily
+from feedloom.sources import feeds, stories
+
+QUERIES: dict = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Bindings, in Spark and in SQL.
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as items."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("ord"),
+        F.left("text", F.lit(80)).alias("title"),
+        F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/a/"), F.col("doc_id").cast("string")).alias("url"),
+        F.col("source").alias("origin"),
+        F.left("text", F.lit(200)).alias("raw"),
+        F.col("n_chars").alias("score"),
+        (F.col("doc_id") % 6).cast("int").alias("weight"),
+        F.lit("").alias("published"),
+    )
+
+
+ITEMS = "items as (select doc_id as ord, left(text, 80) as title, 'https://' || source || '.example.org/a/' || doc_id as url, source as origin, left(text, 200) as raw, n_chars as score, (doc_id % 6)::int as weight, '' as published from documents)"
+
+
+def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages as items of their top-level domains."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    return p.select(
+        F.col("page_id").alias("ord"),
+        "url",
+        F.regexp_extract("url", r"://[^/?#]*\.([a-z]+)", 1).alias("origin"),
+        (F.col("page_id") % 5 + 1).cast("int").alias("weight"),
+        (F.col("page_id") * 37 % 101).alias("score"),
+        F.concat(F.lit("Page "), F.col("page_id").cast("string")).alias("title"),
+        F.lit("").alias("raw"),
+    )
+
+
+HOST = "lower(regexp_replace(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1), '(^.*@)|(:[0-9]+$)', '', 'g'))"
+PATH = "case regexp_replace(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '/+$', '') when '' then '/' else regexp_replace(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '/+$', '') end"
+PARAMS = "string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '&')"
+KEY = "split_part(p, '=', 1)"
+
+
+def _in(names: list[str]) -> str:
+    return "(" + ", ".join(f"'{n}'" for n in names) + ")"
+
+
+STORE_QUERY = f"array_to_string(list_filter({PARAMS}, lambda p: p like '%=_%' and not starts_with(lower({KEY}), 'utm_') and lower({KEY}) not in {_in(url.TRACKING_STORE)}), '&')"
+FEED_QUERY = f"array_to_string(list_sort(list_filter({PARAMS}, lambda p: p <> '' and lower({KEY}) not in {_in(url.TRACKING_FEED)})), '&')"
+STORE_KEY = f"'https://' || regexp_replace({HOST}, '^www[.]', '') || {PATH} || case {STORE_QUERY} when '' then '' else '?' || {STORE_QUERY} end"
+FOLDED = f"regexp_replace({HOST}, '^(www|m|mobile|amp|web)[.]', '')"
+ALIASED = f"case {FOLDED} " + " ".join(f"when '{a}' then '{b}'" for a, b in url.HOST_ALIASES.items()) + f" else {FOLDED} end"
+FEED_KEY = f"({ALIASED}) || {PATH} || case {FEED_QUERY} when '' then '' else '?' || {FEED_QUERY} end"
+SPACES = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def _clean_sql(c: str) -> str:
+    out = f"regexp_replace({c}, '<[^>]+>', ' ', 'g')"
+    for name, char in text.ENTITIES:
+        out = f"replace({out}, '{name.replace(chr(39), chr(39) * 2)}', '{char.replace(chr(39), chr(39) * 2)}')"
+    return f"trim(regexp_replace({out}, '{SPACES}', ' ', 'g'))"
+
+
+def _tokens_sql(c: str) -> str:
+    return f"list_filter(regexp_extract_all(lower({c}), '[a-z0-9]+(?:[.\\-_/][a-z0-9]+)*'), lambda t: len(t) >= 2 and t not in {_in(text.STOPWORDS_LATIN)})"
+
+
+# URLs
+
+
+@query(f"select page_id, {STORE_KEY} as url_key from pages")
+def url_key_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", url.store_key("url").alias("url_key"))
+
+
+@query(f"select page_id, {FEED_KEY} as url_key from pages")
+def url_key_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", url.feed_key("url").alias("url_key"))
+
+
+@query(f"select {ALIASED} as host, count(*) as n from pages group by 1")
+def host_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").groupBy(url.host_of("url").alias("host")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""select page_id, array_to_string(list_distinct([u, u || 'x']), ' ') as links from (select page_id, regexp_replace(regexp_extract(url, 'https?://[^\\s)\\]>"'']+'), '[.,;:!?]+$', '') as u from pages)""")
+def extract_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "pages")
+    body = F.concat(F.lit("see [it]("), F.col("url"), F.lit("), or <"), F.col("url"), F.lit("x>; again "), F.col("url"), F.lit("!?"))
+    return p.select("page_id", F.array_join(F.array_sort(url.extract_urls(body)), " ").alias("links"))
+
+
+ORACLE["extract_urls"] = ORACLE["extract_urls"].replace("list_distinct([u, u || 'x'])", "list_sort([u, u || 'x'])")
+
+
+# Key-based dedup
+
+
+@query(f"select page_id, url_key from (select page_id, {STORE_KEY} as url_key from pages) qualify row_number() over (partition by url_key order by page_id) = 1")
+def first_per_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.first_per_key(url_key_store(spark, sf_dir), "url_key", "page_id")
+
+
+@query(
+    f"""with k as (select page_id, {STORE_KEY} as url_key from pages), h as (select distinct url_key from k where page_id % 10 = 0),
+        b as (select k.*, h.url_key is not null or row_number() over (partition by k.url_key order by page_id) > 1 as dup from k left join h using (url_key) where page_id % 10 <> 0)
+        select page_id, url_key, case when dup then 'duplicate' else 'fresh' end as status from b"""
+)
+def url_partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = url_key_store(spark, sf_dir)
+    return dedup.partition(keyed.where("page_id % 10 <> 0"), keyed.where("page_id % 10 = 0"), "url_key", "page_id").select("page_id", "url_key", "status")
+
+
+@query(f"with k as (select page_id, {STORE_KEY} as url_key from pages) select page_id, url_key from k where page_id % 10 <> 0 and url_key not in (select url_key from k where page_id % 10 = 0)")
+def without_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = url_key_store(spark, sf_dir)
+    return dedup.without_history(keyed.where("page_id % 10 <> 0"), keyed.where("page_id % 10 = 0"), "url_key").select("page_id", "url_key")
+
+
+def _gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("user_id", "event_id", "ts", F.when(F.col("event_type") != "view", F.col("event_type")).otherwise("").alias("event_type"), F.when(F.col("value") >= 10, F.col("value")).alias("value"))
+
+
+@query(
+    """with e as (select user_id, event_id, ts, case when event_type <> 'view' then event_type else '' end as event_type, case when value >= 10 then value end as value from events)
+       select user_id, arg_min(event_id, (ts, event_id)) as event_id, min(ts) as ts,
+              coalesce(arg_min(event_type, (ts, event_id)) filter (event_type <> ''), '') as event_type, arg_min(value, (ts, event_id)) filter (value is not null) as value
+       from e group by user_id"""
+)
+def gap_fill_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.gap_fill_merge(_gaps(spark, sf_dir), "user_id", ["ts", "event_id"], ["event_type", "value"])
+
+
+@query(
+    """with f as (select user_id, min((ts, event_id)) as place from events group by 1 order by place limit 50)
+       select event_id, user_id from events where (ts, event_id) <= (select max(place) from f)"""
+)
+def max_items_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.max_items_prefix(table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "user_id", ["ts", "event_id"], 50).select("event_id", "user_id")
+
+
+# Selection
+
+
+def _quota_sql(origin: str, source: str, order: str, columns: str) -> str:
+    return f"""with {source},
+        r as (select *, row_number() over (partition by {origin} order by {order}) as rn, greatest({select.MIN_PER_SOURCE}, {select.TOP_N} // (select count(distinct {origin}) from items)) as cap from items),
+        t as (select *, row_number() over (order by rn > cap, {order}) - 1 as "index" from r)
+        select {columns}, "index" from t where "index" < {select.TOP_N}"""
+
+
+@query(_quota_sql("lang", "items as (select doc_id, lang, source, n_chars from documents)", "n_chars desc, doc_id", "doc_id, lang"))
+def quota_top_n_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return select.quota_top_n(d, "lang", [F.desc("n_chars"), F.asc("doc_id")]).select("doc_id", "lang", "index")
+
+
+@query(_quota_sql("source", "items as (select doc_id, lang, source, n_chars from documents)", "n_chars desc, doc_id", "doc_id, source"))
+def quota_top_n_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return select.quota_top_n(d, "source", [F.desc("n_chars"), F.asc("doc_id")]).select("doc_id", "source", "index")
+
+
+PAGE_ITEMS = f"""k as (select page_id as ord, {STORE_KEY} as url, regexp_extract(url, '://[^/?#]*[.]([a-z]+)', 1) as origin, (page_id % 5 + 1)::int as weight, page_id * 37 % 101 as score from pages),
+        items as (select * from k where ord % 10 <> 0 and url not in (select url from k where ord % 10 = 0) qualify row_number() over (partition by url order by ord) = 1)"""
+
+
+@query(_quota_sql("origin", PAGE_ITEMS, "weight desc, score desc, ord", "ord, url, origin"))
+def daily_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URL keys, first per key, history, quota: the plan up to the selected rows."""
+    p = page_items(spark, sf_dir)
+    history = p.where("ord % 10 = 0").select(url.store_key("url").alias("url_key"))
+    return daily.selection(p.where("ord % 10 <> 0"), history).select("ord", "url", "origin", "index")
+
+
+# Text
+
+
+@query(f"select page_id, {_clean_sql('html')} as cleaned from pages")
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", text.clean_markup("html").alias("cleaned"))
+
+
+@query(f"select token, count(*) as n, count(distinct doc_id) as docs from (select doc_id, unnest({_tokens_sql('text')}) as token from documents) group by 1")
+def token_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", F.explode(text.tokens("text")).alias("token"))
+    per = d.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("token").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("docs"))
+
+
+@query("select conv_id, turn, trim(text, ' \t\n\r') as body, false as is_report from conversations")
+def conversation_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", text.strip_wrappers("text").alias("body"), text.looks_like_report("text").alias("is_report"))
+
+
+@query(
+    """select event_id, strftime(ts + interval 8 hour, '%Y-%m-%d %H:%M') as local, strftime(ts + interval 330 minute, '%Y-%m-%d %H:%M') as half_hour, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as utc
+       from events"""
+)
+def epoch_to_local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times as seconds, milli-, micro- or nanoseconds or ISO text, by row."""
+    e = table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    secs = F.floor(micros / 1_000_000)
+    forms = [secs, secs * 1000, secs * 1_000_000, secs * 1_000_000_000]
+    raw = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    for i, f in enumerate(forms):
+        raw = F.when(F.col("event_id") % 5 == i, f.cast("string")).otherwise(raw)
+    e = e.select("event_id", raw.alias("raw"))
+    return e.select("event_id", time.format_local("raw").alias("local"), time.format_local("raw", 5.5).alias("half_hour"), time.format_utc("raw").alias("utc"))
+
+
+@query("select (props->>'k')::bigint as k, count(*) as n, round(sum(value), 4) as total from events group by 1")
+def json_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select(F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"), "value")
+    return e.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+# Similarity
+
+VECTORS = """c as (select id, token, 1 + ln(count(*)) as w from t group by 1, 2),
+        v as (select id, token, w / sqrt(sum(w * w) over (partition by id)) as w from c)"""
+
+
+def _embed_sql(rows: str) -> str:
+    tok = lambda c: _tokens_sql(f"trim(regexp_replace({c}, '{SPACES}', ' ', 'g'))")
+    return f"""(select id, unnest(list_concat(list_concat({tok("title")}, {tok("title")}), {tok("raw")})) as token from (select id, title, left(trim(regexp_replace(raw, '{SPACES}', ' ', 'g')), 200) as raw from {rows})
+        where len(trim(regexp_replace(title, '{SPACES}', ' ', 'g'))) + len(raw) >= 6)"""
+
+
+DOCS = "(select doc_id as id, left(text, 80) as title, left(text, 200) as raw from documents)"
+BENCH = "(select -1 - item_id as id, left(text, 80) as title, left(text, 200) as raw from benchmark)"
+
+
+@query(f"with t as {_embed_sql(DOCS)}, {VECTORS} select a.id as a, b.id as b, round(sum(a.w * b.w), 6) as score from v a join v b on a.token = b.token and a.id < b.id group by 1, 2 having sum(a.w * b.w) >= {similar.GRAY}")
+def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = similar.encode_lexical(items(spark, sf_dir), "ord")
+    return similar.similar_pairs(v).select("a", "b", F.round("score", 6).alias("score"))
+
+
+def _against_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ord"), F.left("text", F.lit(80)).alias("title"), F.left("text", F.lit(200)).alias("raw"))
+    scores = similar.cross_scores(similar.encode_lexical(items(spark, sf_dir), "ord"), similar.encode_lexical(hist, "ord"))
+    return similar.best_candidate(scores)
+
+
+BEST = f"""with t as (select * from {_embed_sql(DOCS)} union all select * from {_embed_sql(BENCH)}), {VECTORS},
+        s as (select a.id as doc_id, -1 - b.id as item_id, round(sum(a.w * b.w), 9) as score from v a join v b on a.token = b.token where a.id >= 0 and b.id < 0 group by 1, 2),
+        best as (select * from s qualify row_number() over (partition by doc_id order by score desc, item_id) = 1)"""
+
+
+@query(BEST + " select doc_id, item_id, round(score, 4) as score from best")
+def history_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _against_benchmark(spark, sf_dir).select(F.col("a").alias("doc_id"), F.col("b").alias("item_id"), F.round("score", 4).alias("score"))
+
+
+@query(
+    BEST + f""" select doc_id, item_id, case when score >= {similar.DUP} + case when source = 'src' || (item_id % 20) then {similar.MARGIN} else 0 end then 'drop'
+        when score >= {similar.GRAY} then 'suspect' else 'keep' end as action from best join documents using (doc_id)"""
+)
+def dup_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = _against_benchmark(spark, sf_dir).join(items(spark, sf_dir).select(F.col("ord").alias("a"), "origin"), "a")
+    same = F.col("origin") == F.concat(F.lit("src"), (F.col("b") % 20).cast("string"))
+    return best.select(F.col("a").alias("doc_id"), F.col("b").alias("item_id"), similar.verdict(F.col("score"), same, F.lit(False), F.lit(True)).alias("action"))
+
+
+@query()
+def semantic_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy and in order; compared with a sequential model in the tests."""
+    out = similar.semantic_dedup(items(spark, sf_dir))
+    return out.select("ord", "action", "similarity", "similar_to", "similar_scope")
+
+
+@query(
+    """with q as (select vec_id, embedding::double[] as e from embeddings where vec_id % 100 = 0),
+       s as (select q.vec_id as query_id, v.vec_id, round(list_cosine_similarity(q.e, v.embedding::double[]), 6) as score from q join embeddings v on q.vec_id <> v.vec_id),
+       r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+       select * from r where rank <= 10"""
+)
+def dense_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return search.dense_top_k(v.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id"), v, 10)
+
+
+@query(
+    BEST + """, f as (select l.doc_id, quality = 0 as truth, coalesce(score, 0) as score from labels l left join best using (doc_id)),
+       th as (select unnest([0.5, 0.6, 0.7, 0.8, 0.9])::double as threshold)
+       select threshold, count(*) filter (score >= threshold and truth) as tp, count(*) filter (score >= threshold and not truth) as fp,
+              count(*) filter (score < threshold and truth) as fn, count(*) filter (score < threshold and not truth) as tn from f, th group by 1"""
+)
+def threshold_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = _against_benchmark(spark, sf_dir).select(F.col("a").alias("doc_id"), F.round("score", 9).alias("score"))
+    f = table(spark, sf_dir, "labels").join(best, "doc_id", "left").select((F.col("quality") == 0).alias("truth"), F.coalesce("score", F.lit(0.0)).alias("score"))
+    f = f.withColumn("threshold", F.explode(F.array(*map(F.lit, (0.5, 0.6, 0.7, 0.8, 0.9)))))
+    hit = F.col("score") >= F.col("threshold")
+    return f.groupBy("threshold").agg(F.count_if(hit & F.col("truth")).alias("tp"), F.count_if(hit & ~F.col("truth")).alias("fp"), F.count_if(~hit & F.col("truth")).alias("fn"), F.count_if(~hit & ~F.col("truth")).alias("tn"))
+
+
+# The store
+
+
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.select(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("url_key"), F.concat(F.lit("https://e/"), F.col("event_id").cast("string")).alias("url"), F.to_date("ts").alias("run_date"), F.col("event_type").alias("source"), F.col("props").alias("title"), F.col("user_id").cast("string").alias("raw"), F.col("ts").alias("pushed_at"))
+
+
+ARTICLES = "a as (select 'e' || event_id as url_key, 'https://e/' || event_id as url, ts::date as run_date, event_type as source, props as title, user_id::varchar as raw, ts as pushed_at from events)"
+
+
+def _dates(df: DataFrame) -> DataFrame:
+    """Dates as text, so that both engines hand out the same type."""
+    return df.select(*(F.date_format(c, "yyyy-MM-dd").alias(c) if t == "date" else c for c, t in df.dtypes))
+
+
+def last_day(spark: SparkSession, sf_dir: str):
+    return F.lit(table(spark, sf_dir, "events").agg(F.max(F.to_date("ts"))).first()[0])
+
+
+@query(
+    """with e as (select *, 'u' || user_id as url_key, 'https://e/' || event_id as url, ts::date as run_date from events),
+       o as (select * from e where event_id % 2 = 0 qualify row_number() over (partition by user_id order by event_id) = 1),
+       n as (select *, case when event_type = 'view' then '' else event_type end as s from e where event_id % 2 = 1 qualify row_number() over (partition by user_id order by event_id) = 1)
+       select coalesce(o.url_key, n.url_key) as url_key, coalesce(o.url, n.url) as url, strftime(coalesce(n.run_date, o.run_date), '%Y-%m-%d') as run_date,
+              coalesce(nullif(n.s, ''), o.event_type, n.s) as source, coalesce(nullif(n.props, ''), o.props) as title, coalesce(n.ts, o.ts) as pushed_at
+       from o full join n on o.url_key = n.url_key"""
+)
+def store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even events as the state, odd ones as the batch; the first of each user counts."""
+    e = table(spark, sf_dir, "events")
+    row = e.select("event_id", F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url_key"), F.concat(F.lit("https://e/"), F.col("event_id").cast("string")).alias("url"), F.to_date("ts").alias("run_date"), F.col("event_type").alias("source"), F.col("props").alias("title"), F.lit("").alias("raw"), F.col("ts").alias("pushed_at"))
+    state = dedup.first_per_key(row.where("event_id % 2 = 0"), "url_key", "event_id")
+    batch = row.where("event_id % 2 = 1").withColumn("source", F.when(F.col("source") == "view", "").otherwise(F.col("source")))
+    return _dates(store.upsert(state, batch, "event_id").drop("raw"))
+
+
+@query(f"with {ARTICLES} select url_key, strftime(run_date, '%Y-%m-%d') as run_date, title from a where run_date >= (select max(run_date) from a) - {store.DAYS} order by a.run_date desc, pushed_at desc, url_key limit {store.LIMIT}")
+def history_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dates(store.window(articles(spark, sf_dir), last_day(spark, sf_dir)).select("url_key", "run_date", "title"))
+
+
+@query(f"with {ARTICLES} select strftime(run_date, '%Y-%m-%d') as run_date, count(*) as articles, count(distinct source) as sources from a group by 1")
+def stats_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dates(store.stats_by_day(articles(spark, sf_dir)))
+
+
+@query(f"with {ARTICLES} select source, count(*) as articles, strftime(min(run_date), '%Y-%m-%d') as first_day, strftime(max(run_date), '%Y-%m-%d') as last_day from a group by 1")
+def stats_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dates(store.stats_by_source(articles(spark, sf_dir)))
+
+
+@query(f"with {ARTICLES} select count(*) as articles, strftime(min(run_date), '%Y-%m-%d') as first_day, strftime(max(run_date), '%Y-%m-%d') as last_day from a where run_date >= (select max(run_date) from a) - 10")
+def prune_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dates(store.totals(store.prune(articles(spark, sf_dir), last_day(spark, sf_dir), 10)))
+
+
+# Reports
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as run logs: one run per event, its figures from value, absent ones by event_id."""
+    e = table(spark, sf_dir, "events")
+    n = lambda f: F.floor(F.col("value") * f)
+    some = lambda c, m: F.when(F.col("event_id") % m != 0, c)
+    given = {
+        "hn_raw": some(n(1), 3),
+        "openai_raw": n(0.1),
+        "jqzx_raw": some(n(0.2), 2),
+        "qbitai_raw": some(n(0.3), 7),
+        "merged_raw": n(3),
+        "after_url_dedup": n(2),
+        "selected": some(n(1.5), 5),
+        "semantic_kept": some(n(1.2), 4),
+        "semantic_dropped": some(n(0.3), 4),
+        "semantic_suspect": n(0.05),
+        "warnings": F.when(F.col("event_id") % 11 == 0, F.array(F.concat(F.lit("slow "), F.col("event_type")))),
+        "missing_sources": F.when(F.col("value") < 5, F.array(F.lit("HN(0)"))),
+        "selected_by_source": F.create_map(F.lit("HN"), n(0.5), F.lit("openai blog"), n(0.4)),
+        "max_history_score": some(F.floor(F.col("value")) / 1000, 4),
+    }
+    stats = F.from_json(F.to_json(F.struct(*(c.alias(k) for k, c in given.items()))), schemas.RUN_STATS)
+    failed = F.col("event_type") == "click"
+    return e.select(
+        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.when(failed, "http_error").otherwise("succeeded").alias("status"),
+        F.col("value").alias("elapsed_seconds"),
+        F.col("user_id").alias("total_tokens"),
+        n(1.1).alias("count"),
+        F.when(failed, F.col("props")).alias("error"),
+        F.col("event_id").alias("history_used"),
+        F.when(F.col("event_id") % 13 != 0, F.struct((F.col("event_id") % 9 != 0).alias("ok"), F.lit("code 500").alias("detail"))).alias("push"),
+        stats.alias("stats"),
+    )
+
+
+def _some(f: float, m: int) -> str:
+    return f"case when event_id % {m} <> 0 then floor(value * {f}::double)::bigint end"
+
+
+RUNS = f"""r as (select strftime(ts, '%Y-%m-%d') as date, event_type, event_type <> 'click' as ok, value, user_id, event_id, props, floor(value * 1.1::double)::bigint as pushed,
+        {_some(1, 3)} as hn, floor(value * 0.1::double)::bigint as oa, coalesce({_some(0.3, 7)}, {_some(0.2, 2)}) as jq, floor(value * 3)::bigint as merged, floor(value * 2)::bigint as after_url,
+        coalesce({_some(1.5, 5)}, floor(value * 2)::bigint) as chosen, {_some(1.2, 4)} as kept, {_some(0.3, 4)} as cut, coalesce(event_id % 13 <> 0 and event_id % 9 <> 0, false) as push_ok from events)"""
+
+
+@query(
+    f"""with {RUNS} select count(*) as runs, count(*) filter (ok) as succeeded, count(*) filter (not ok) as failed, count(*) filter (push_ok) as push_ok,
+        count(*) filter (not push_ok and event_id % 13 <> 0) as push_failed, sum(user_id)::bigint as total_tokens, round(sum(value), 1) as elapsed_seconds, sum(merged)::bigint as merged_raw,
+        sum(after_url)::bigint as after_url_dedup, sum(chosen)::bigint as selected, sum(coalesce(kept, chosen))::bigint as semantic_kept, sum(coalesce(cut, 0))::bigint as semantic_dropped, sum(pushed)::bigint as pushed from r"""
+)
+def run_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.summary(runs(spark, sf_dir))
+
+
+@query(f"with {RUNS} select date, case when ok then 'succeeded' else 'http_error' end as status, merged as merged_raw, after_url as after_url_dedup, chosen as selected, coalesce(cut, 0) as semantic_dropped, pushed, event_id as history_used, push_ok from r")
+def run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.by_run(runs(spark, sf_dir))
+
+
+@query(
+    f"""with {RUNS}, n as (select 'Hacker News' as source, hn as n, floor(value * 0.5)::bigint as c from r union all select 'OpenAI Blog', oa, floor(value * 0.4::double)::bigint from r union all select '量子位', jq, null from r)
+        select source, coalesce(sum(n), 0)::bigint as raw, coalesce(sum(c), 0)::bigint as selected, count(*) filter (n = 0) as missing_runs, count(n) as days from n group by 1"""
+)
+def source_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.sources(runs(spark, sf_dir))
+
+
+
+
+@query(
+    f"""with {RUNS} select count(*) filter (kept is not null or cut is not null) as runs_with_data, count(*) filter (kept is null and cut is null) as runs_without_data,
+        coalesce(sum(cut), 0)::bigint as dropped, coalesce(sum(floor(value * 0.05::double)) filter (event_id % 4 <> 0), 0)::bigint as suspect,
+        max(floor(value) / 1000) filter (event_id % 4 <> 0 and floor(value) <> 0) as top_history_score, round(avg(floor(value) / 1000) filter (event_id % 4 <> 0 and floor(value) <> 0), 6) as mean_history_score from r"""
+)
+def semantic_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.semantic(runs(spark, sf_dir)).withColumn("mean_history_score", F.round("mean_history_score", 6))
+
+
+@query(
+    f"""with {RUNS} select date, 'warning' as kind, 'slow ' || event_type as detail from r where event_id % 11 = 0 union all select date, 'missing', 'HN(0)' from r where value < 5
+        union all select date, 'failed', props from r where not ok union all select date, 'push', case when event_id % 13 <> 0 then 'code 500' end from r where ok and not push_ok"""
+)
+def issue_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.issues(runs(spark, sf_dir))
+
+
+# Digest
+
+
+RANKED = f"""with {ITEMS}, top as (select *, row_number() over (order by weight desc, score desc, ord) as rank from items where url <> ''),
+        r as (select *, case when weight = 0 then 3 else least(5, greatest(1, weight)) end as stars, case when trim(raw) = '' then '{digest.NO_SNIPPET}' else trim(raw) end as snippet, case when title = '' then '{digest.NO_TITLE}' else title end as t from top where rank <= {digest.TOP_N})"""
+BLOCK = "'### ' || t || ' · 重要性 ' || stars || '/5' || chr(10) || snippet || chr(10) || '来源：' || origin || ' · [原文](' || url || ')' || chr(10)"
+
+
+@query(
+    RANKED
+    + f""" select rtrim('# AI 日报 · 2026-01-01' || chr(10) || chr(10) || '> 共 ' || count(*) || ' 条 · 来源：' || (select string_agg(origin, ' / ' order by origin) from (select distinct origin from r)) || chr(10) || chr(10)
+        || '<!-- 保底渲染（test）：LLM 这次没给出可用的日报正文 -->' || chr(10)
+        || chr(10) || '## 今日头条' || chr(10) || chr(10) || coalesce(string_agg({BLOCK}, chr(10) order by rank) filter (rank = 1), '今日无' || chr(10))
+        || chr(10) || '## 重要进展' || chr(10) || chr(10) || coalesce(string_agg({BLOCK}, chr(10) order by rank) filter (rank in (2, 3)), '今日无' || chr(10))
+        || chr(10) || '## 值得关注' || chr(10) || chr(10) || coalesce(string_agg({BLOCK}, chr(10) order by rank) filter (rank > 3), '今日无' || chr(10))
+        || chr(10) || '## 链接汇总' || chr(10) || chr(10) || string_agg('- [' || t || '](' || url || ') — ' || origin || ' · ' || stars || '/5', chr(10) order by rank)) as markdown from r"""
+)
+def digest_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's top rows are the feature."""
+    return digest.fallback_report(items(spark, sf_dir), "2026-01-01", "test")
+
+
+@query(
+    """with p as (select page_id, url, 'Page ' || page_id as title from pages), l as (select page_id % 50 as report, page_id, regexp_replace(url, '[.,;:!?]+$', '') as link from p),
+       m as (select report, l.page_id, coalesce(max(q.url), link) as url from l left join p q on rtrim(q.url, '/') = rtrim(link, '/') group by report, l.page_id, link),
+       f as (select report, url, min(page_id) as place from m group by 1, 2)
+       select report, row_number() over (partition by report order by place) - 1 as pos, url, coalesce((select max(title) from p where p.url = f.url), '') as title from f"""
+)
+def pushed_items_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty reports of page links with an extra slash, mapped back to the pages."""
+    p = page_items(spark, sf_dir).drop("origin").withColumn("origin", F.lit(""))
+    line = F.concat(F.col("url"), F.when(F.col("url").endswith("/"), "").when(F.col("url").rlike("[?#]"), "").otherwise("/"))
+    texts = p.groupBy((F.col("ord") % 50).alias("report")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", line.alias("l")))), lambda x: x["l"]), " ").alias("markdown"))
+    return digest.pushed_items(texts, p).select("report", "pos", "url", "title")
+
+
+# Sources
+
+
+@query("select page_id as ord, 'Page ' || page_id as title, url, (page_id % 7)::bigint as score, page_id::varchar as id, strftime(make_timestamp((1700000000 + page_id)::bigint * 1000000), '%Y-%m-%dT%H:%M:%SZ') as time_iso, 'n' || (page_id % 3) as author from pages where page_id % 4 <> 3")
+def story_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as JSON payloads in four shapes; every fourth has no title and is skipped."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    k = F.col("page_id") % 4
+    title = F.concat(F.lit("Page "), F.col("page_id").cast("string"))
+    sec = F.lit(1700000000) + F.col("page_id")
+    a = F.to_json(F.struct(F.array(F.struct(title.alias("title"), "url", F.col("page_id").cast("string").alias("objectID"), sec.alias("created_at_i"), (F.col("page_id") % 7).alias("points"), F.concat(F.lit(" n"), (F.col("page_id") % 3).cast("string")).alias("author"))).alias("hits")))
+    b = F.to_json(F.array(F.struct(title.alias("name"), F.col("url").alias("link"), F.col("page_id").alias("id"), (sec * 1000).alias("timestamp"), (F.col("page_id") % 7).cast("string").alias("score"), F.concat(F.lit("n"), (F.col("page_id") % 3).cast("string")).alias("by"))))
+    c = F.to_json(F.create_map(F.col("page_id").cast("string"), F.struct(title.alias("title"), F.col("url").alias("href"), F.col("page_id").alias("id"), F.date_format(F.timestamp_seconds(sec), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"), (F.col("page_id") % 7).alias("votes"), F.concat(F.lit("n"), (F.col("page_id") % 3).cast("string")).alias("user"))))
+    d = F.to_json(F.struct(F.lit("").alias("title"), "url", F.col("page_id").alias("id")))
+    bodies = p.select(F.col("page_id").alias("ord"), F.when(k == 0, a).when(k == 1, b).when(k == 2, c).otherwise(d).alias("body"))
+    out = stories.build_stories(stories.payload_items(bodies, "body", ["ord"]), ["ord"]).where("ok")
+    return out.select("ord", "title", "url", "score", "id", "time_iso", "author")
+
+
+@query(
+    """select page_id as ord, 'Page <' || page_id || '>' as title, 'https://f.example/' || page_id as url, 'p' || page_id as published, 'a & b' as raw from pages where page_id % 3 <> 2"""
+)
+def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as one-entry RSS and Atom feeds; every third is cut off and so has no entry."""
+    n = F.col("page_id").cast("string")
+    title = F.concat(F.lit("Page &amp;lt;"), n, F.lit("&amp;gt;"))
+    rss = F.concat(F.lit("<rss><channel><item><title>"), title, F.lit("</title><link> https://f.example/"), n, F.lit("</link><pubDate>p"), n, F.lit("</pubDate><description>&lt;b&gt;a&lt;/b&gt; &amp;amp; b</description></item></channel></rss>"))
+    atom = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>'), title, F.lit('</title><link href="https://f.example/'), n, F.lit('"/><updated>p'), n, F.lit("</updated><summary>a &amp;amp; b</summary></entry></feed>"))
+    k = F.col("page_id") % 3
+    bodies = table(spark, sf_dir, "pages").select(n.alias("origin"), F.lit(4).alias("weight"), F.when(k == 0, rss).when(k == 1, atom).otherwise(F.left(rss, F.lit(60))).alias("body"))
+    out = feeds.feed_items(bodies)
+    return out.select(F.col("origin").cast("bigint").alias("ord"), "title", "url", "published", "raw")
+
+
+# Pages
+
+_UNESCAPED = "replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&amp;', '&')"
+
+
+def _meta_sql(attr: str, name: str) -> str:
+    return f"regexp_extract(html, '(?is)<meta[^>]+{attr}=[\"'']{name}[\"''][^>]+content=[\"'']([^\"'']+)', 1)"
+
+
+def _first_sql(places) -> str:
+    each = [f"nullif(trim(regexp_replace({_UNESCAPED.format(_meta_sql(a, n) if n else 'regexp_extract(html, ' + chr(39) + '(?is)<title[^>]*>(.*?)</title>' + chr(39) + ', 1)')}, '{SPACES}', ' ', 'g')), '')" for a, n in places]
+    return f"coalesce({', '.join(each)}, '')"
+
+
+@query("select page_id, " + ", ".join(f"{_first_sql(v)} as {k}" for k, v in html.META.items()) + " from pages")
+def html_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", *(c.alias(k) for k, c in html.metadata(F.col("html"), F.col("url")).items() if k != "canonical"))
+
+
+@query()
+def html_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main content as Markdown; a tree walk, tested on hand-made pages."""
+    return html.extract(table(spark, sf_dir, "pages")).select("page_id", "title", "markdown", "text", "char_count")

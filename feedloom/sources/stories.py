@@ -55,37 +55,43 @@ def payload_items(bodies: DataFrame, body: str, keys: list[str], max_depth: int
     string inside stands for its content. Each level is one generator step, up to max_depth levels; what is
     not JSON has no entries.
     """
-    level = bodies.select(*keys, F.array().cast("array<int>").alias("pos"), F.try_parse_json(F.col(body)).alias("v")).where("v is not null and not is_variant_null(v)")
+    level = bodies.select(*keys, F.array().cast("array<int>").alias("pos"), F.try_parse_json(F.col(body)).alias("raw"))
     done = None
     for depth in range(max_depth + 1):
-        kind = _kind(F.col("v"))
-        text = F.try_parse_json(F.try_variant_get("v", "$", "string"))
-        level = level.withColumn("v", F.when((kind == "STRING") & F.lit(depth < max_depth), text).otherwise(F.col("v"))).where("v is not null")
-        kind = _kind(F.col("v"))
-        is_list, is_object = kind.startswith("ARRAY"), kind.startswith("OBJECT")
-        inner = F.coalesce(*(F.when(_kind(x := F.try_variant_get("v", f"$.{n}", "variant")).rlike("^(ARRAY|OBJECT)"), x) for n in LISTS))
-        titled = F.coalesce(*(F.try_variant_get("v", f"$.{n}", "variant") for n in NAMES["title"] + NAMES["url"] + NAMES["id"])).isNotNull()
-        state = F.when(is_list, "list").when(is_object & inner.isNotNull(), "inner").when(is_object & ~titled, "objects").when(is_object, "item").otherwise("none")
+        quoted = F.try_parse_json(F.try_variant_get("raw", "$", "string"))
+        level = settled(level, v=F.when((_kind(F.col("raw")) == "STRING") & F.lit(depth < max_depth), quoted).otherwise(F.col("raw"))).drop("raw")
+        level = settled(level, kind=F.coalesce(_kind(F.col("v")), F.lit("VOID")), titled=F.coalesce(*(F.try_variant_get("v", f"$.{n}", "variant") for n in NAMES["title"] + NAMES["url"] + NAMES["id"])).isNotNull(), **{f"in_{n}": F.try_variant_get("v", f"$.{n}", "variant") for n in LISTS})
+        inner = F.coalesce(*(F.when(_kind(F.col(f"in_{n}")).rlike("^(ARRAY|OBJECT)"), F.col(f"in_{n}")) for n in LISTS))
+        level = settled(level, inner=inner).drop(*(f"in_{n}" for n in LISTS))
+        is_object = F.col("kind").startswith("OBJECT")
+        state = F.when(F.col("kind").startswith("ARRAY"), "list").when(is_object & F.col("inner").isNotNull(), "inner").when(is_object & ~F.col("titled"), "objects").when(is_object, "item").otherwise("none")
         level = level.withColumn("state", state)
-        items = level.where("state = 'item'").select(*keys, "pos", F.col("v").alias("item"))
-        listed = level.where("state = 'list'").select(*keys, "pos", F.posexplode(F.try_variant_get("v", "$", "array<variant>")).alias("i", "x"))
-        found = items.unionByName(listed.select(*keys, F.concat("pos", F.array("i")).alias("pos"), F.col("x").alias("item")))
-        objects = level.where("state = 'objects'").select(*keys, "pos", F.posexplode(F.map_values(F.try_variant_get("v", "$", "map<string,variant>"))).alias("i", "x"))
-        found = found.unionByName(objects.where(_kind(F.col("x")).startswith("OBJECT")).select(*keys, F.concat("pos", F.array("i")).alias("pos"), F.col("x").alias("item")))
+        # entries of this level: the value itself, the elements of a list, the objects of an object
+        entries = F.when(F.col("state") == "item", F.array("v")).when(F.col("state") == "list", F.try_variant_get("v", "$", "array<variant>")).when(F.col("state") == "objects", F.map_values(F.try_variant_get("v", "$", "map<string,variant>")))
+        found = level.select(*keys, "pos", "state", F.posexplode(entries).alias("i", "item"))
+        found = found.where((F.col("state") != "objects") | _kind(F.col("item")).startswith("OBJECT")).select(*keys, F.concat("pos", F.array("i")).alias("pos"), "item")
         done = found if done is None else done.unionByName(found)
-        if depth == max_depth:
-            break
-        level = level.where("state = 'inner'").select(*keys, "pos", inner.alias("v"))
+        if depth < max_depth:
+            level = level.where("state = 'inner'").select(*keys, "pos", F.col("inner").alias("raw"))
     return done
 
 
+def settled(df: DataFrame, **cols: Column) -> DataFrame:
+    """Adds columns behind a generator, so that later steps refer to them and the optimizer does not repeat their expressions."""
+    made = F.explode(F.array(F.struct(*(c.alias(n) for n, c in cols.items()))))
+    return df.select("*", made.alias("_made")).select(*(c for c in df.columns if c not in cols), "_made.*")
+
+
 def build_stories(items: DataFrame, keys: list[str], offset_hours: float = 8.0, strftime: str = "%Y-%m-%d %H:%M") -> DataFrame:
     """items plus the story fields; ``ok`` is false for entries without a title, or with neither URL nor id."""
     v = F.col("item")
-    raw = items.select(*keys, "pos", *(field(v, n).alias("_" + n) for n in NAMES), _kind(v).startswith("OBJECT").alias("_object"))
+    raw = settled(items, _object=_kind(v).startswith("OBJECT"))
+    for n in NAMES:  # one by one, which keeps the generated code of each step small
+        raw = settled(raw, **{"_" + n: field(v, n)})
+    raw = raw.drop("item")
     made = F.col("_url") == ""
     url = F.when(made & (F.col("_id") != ""), F.concat(F.lit(PAGE_OF_ID), F.col("_id"))).otherwise(F.col("_url"))
-    raw = raw.withColumn("url", url).withColumn("_sec", unix_seconds("_time"))
+    raw = settled(raw, url=url, _sec=unix_seconds("_time"))
     source = F.when(F.col("_source") != "", F.col("_source")).when(made, NO_HOST).otherwise(F.coalesce(F.nullif(host_of("url"), F.lit("")), F.lit(NO_HOST)))
     number = lambda c: F.col(c).try_cast("double").cast("bigint")
     return raw.select(
