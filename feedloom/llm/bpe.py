@@ -15,6 +15,7 @@ import mmap
 import re
 import struct
 import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,14 +23,20 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import cut, fresh, frugal
 
 #: Words in the lexicon and the longest of them in bytes: together they bound the broadcast (under 8 MB).
 LEXICON_SIZE, LEXICON_WORD = 50_000, 40
 
+_NEVER = 1 << 62
+_BYTES = [bytes([b]) for b in range(256)]
+
+#: A blank next to white space of plain texts.
+_DOUBLE = ["  ", *(x for w in "\t\n\x0b\x0c\r" for x in (" " + w, w + " "))]
+
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The same on texts of the characters in _PLAIN, where the faster module's classes agree with the above.
 _SPLIT_PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
@@ -55,10 +62,32 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.rank = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
+        #: from a pair of ids to its rank and the id of the joined piece, packed
+        self.joined = {self.ids[a] << 20 | self.ids[b]: r << 20 | self.ids[a + b] for (a, b), r in self.rank.items()}
+        self.byte_ids = [self.ids[bytes([b])] for b in range(256)]
         self.bytes = {v: k for k, v in self.ids.items()} | {v: k.encode() for k, v in self.special.items()}
 
     def merge(self, word: bytes) -> list[int]:
-        """Applies the merges by rank, then from the left; n log n in the length of the word."""
+        """Applies the merges by rank, then from the left."""
+        return self._merge_short(word) if len(word) <= 48 else self._merge_long(word)
+
+    def _merge_short(self, word: bytes) -> list[int]:
+        """Scans for the least rank each time; only the two neighbours of a merge are looked up again."""
+        get = self.joined.get
+        part = list(map(self.byte_ids.__getitem__, word))
+        found = [get(a << 20 | b, _NEVER) for a, b in zip(part, part[1:])]
+        while found and (r := min(found)) != _NEVER:
+            i = found.index(r)
+            part[i] = x = r & 0xFFFFF
+            del part[i + 1], found[i]
+            if i < len(found):
+                found[i] = get(x << 20 | part[i + 1], _NEVER)
+            if i:
+                found[i - 1] = get(part[i - 1] << 20 | x, _NEVER)
+        return part
+
+    def _merge_long(self, word: bytes) -> list[int]:
+        """The same with a heap: n log n in the length of the word."""
         n = len(word)
         part: list[bytes | None] = [word[i : i + 1] for i in range(n)]
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -132,32 +161,27 @@ class Transducer:
         offsets = np.cumsum([0, *(len(entries[w]) for w in order)])
         ids = [i for w in order for i in entries[w]]
         body = [np.array(x, np.uint32).tobytes() for x in (first, targets, outputs, offsets, ids)]
-        return struct.pack("<5I", root, len(states), len(labels), len(order), len(ids)) + b"".join(body) + bytes(labels)
+        return struct.pack("<6I", root, len(states), len(labels), len(order), len(ids), max(map(len, order), default=0)) + b"".join(body) + bytes(labels)
 
     def __init__(self, buffer):
-        self.root, n_states, n_arcs, n_words, n_ids = struct.unpack_from("<5I", buffer)
-        at, views = 20, []
+        self.root, n_states, n_arcs, n_words, n_ids, self.longest = struct.unpack_from("<6I", buffer)
+        at, views = 24, []
         for n in (n_states + 1, n_arcs, n_arcs, n_words + 1, n_ids):
             views.append(memoryview(buffer)[at : at + 4 * n].cast("I"))
             at += 4 * n
         self.first, self.targets, self.outputs, self.offsets, self.ids = views
-        self.labels, self.words, self.states = memoryview(buffer)[at : at + n_arcs], n_words, n_states
+        self.buffer, self.base, self.words, self.states = buffer, at, n_words, n_states
 
     def get(self, word: bytes) -> list[int] | None:
+        first, find, base = self.first, self.buffer.find, self.base
         state, number = self.root, 0
         for b in word:
-            lo, hi = self.first[state] >> 1, self.first[state + 1] >> 1
-            while lo < hi:
-                mid = (lo + hi) >> 1
-                if self.labels[mid] < b:
-                    lo = mid + 1
-                else:
-                    hi = mid
-            if lo == self.first[state + 1] >> 1 or self.labels[lo] != b:
+            arc = find(_BYTES[b], base + (first[state] >> 1), base + (first[state + 1] >> 1)) - base
+            if arc < 0:
                 return None
-            number += self.outputs[lo]
-            state = self.targets[lo]
-        if not self.first[state] & 1:
+            number += self.outputs[arc]
+            state = self.targets[arc]
+        if not first[state] & 1:
             return None
         return list(self.ids[self.offsets[number] : self.offsets[number + 1]])
 
@@ -181,6 +205,12 @@ class Splitter:
     def words(self, text: str) -> list[str]:
         return (self.fast if self.plain.fullmatch(text) else self.exact).findall(text)
 
+    def blanks(self, text: str) -> list[str] | None:
+        """The text cut at its blanks, if each stands alone inside it and so opens a word; else None."""
+        if not self.plain.fullmatch(text) or text[:1] == " " or text[-1:] == " " or any(x in text for x in _DOUBLE):
+            return None
+        return text.split(" ")
+
     def pieces(self, text: str) -> list[str]:
         """Texts at even places, special strings at odd ones."""
         return self.cut.split(text) if self.cut and any(s in text for s in self.special) else [text]
@@ -189,7 +219,7 @@ class Splitter:
 class Codec(dict):
     """Encodes and decodes whole texts. As a dict it holds the packed ids of the words met last."""
 
-    def __init__(self, path: str, lexicon: bytes | None = None, most: int = 300_000):
+    def __init__(self, path: str, lexicon: bytes | None = None, most: int = 600_000):
         super().__init__()
         self.vocabulary, self.most = vocabulary(path), most
         self.lexicon = Transducer(mapped(lexicon)) if lexicon else None
@@ -197,7 +227,7 @@ class Codec(dict):
 
     def __missing__(self, word: str) -> bytes:
         raw = word.encode("utf-8", "replace")
-        ids = self.lexicon.get(raw) if self.lexicon and len(raw) <= LEXICON_WORD else None
+        ids = self.lexicon.get(raw) if self.lexicon and len(raw) <= self.lexicon.longest else None
         packed = np.array(self.vocabulary.merge(raw) if ids is None else ids, "<u4").tobytes()
         if len(raw) <= 64:
             if len(self) >= self.most:
@@ -224,36 +254,62 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def count_words(docs: DataFrame, path: str, text_col: str = "text", longest: int = LEXICON_WORD, most: int = 200_000) -> DataFrame:
+def count_words(docs: DataFrame, path: str, text_col: str = "text", longest: int = LEXICON_WORD, most: int = 400_000) -> DataFrame:
     """(word binary, n): counts of all pre-tokens up to ``longest`` bytes. A task holds ``most`` words at once at most."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split, seen = Splitter(vocabulary(path).special), Counter()
+        split, seen, opened = Splitter(vocabulary(path).special), Counter(), Counter()
 
         def out():
+            for piece, n in opened.items():  # one split for all places of a piece
+                for w in split.words(" " + piece):
+                    seen[w] += n
             some = [(k, n) for w, n in seen.items() if len(k := w.encode("utf-8", "replace")) <= longest]
             seen.clear()
+            opened.clear()
             return pd.DataFrame(some, columns=["word", "n"])
 
         for pdf in batches:
             for t in pdf.iloc[:, 0]:
                 for piece in split.pieces(t or "")[::2]:
-                    seen.update(split.words(piece))
-                if len(seen) >= most:
+                    cut_up = split.blanks(piece)
+                    if cut_up is None:
+                        seen.update(split.words(piece))
+                    else:
+                        seen.update(split.words(cut_up[0]))
+                        opened.update(cut_up[1:])
+                if len(seen) + len(opened) >= most:
                     yield out()
         yield out()
 
-    part = docs.select(text_col).mapInPandas(run, "word binary, n bigint")
+    part = frugal(docs).select(text_col).mapInPandas(run, "word binary, n bigint")
     return part.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", size: int = LEXICON_SIZE) -> bytes:
-    """The transducer of the ``size`` most frequent words, ties by their bytes. Only these reach the driver."""
-    top = count_words(docs, path, text_col).where("n > 1").orderBy(F.desc("n"), "word").limit(size).collect()
+    """The transducer of the most frequent words, at most ``size``: those as frequent as some least count.
+
+    Only these words and the histogram of counts, one row per distinct count, leave the executors.
+    """
+    words = cut(count_words(docs, path, text_col).where("n > 1"))
+    at = words.groupBy("n").agg(F.count(F.lit(1)).alias("m")).select("n", F.sum("m").over(Window.orderBy(F.desc("n"))).alias("sum"))
+    least = at.where(F.col("sum") <= size).agg(F.min("n")).first()[0]
+    top = words.where(F.col("n") >= least).collect() if least else []
     v = vocabulary(path)
     return Transducer.compile({bytes(r["word"]): v.merge(bytes(r["word"])) for r in top})
 
 
+_HELD: dict[tuple[str, str], Codec] = {}
+
+
+def worker_codec(path: str, key: str, shared) -> Codec:
+    """The codec that a worker keeps from task to task of one run."""
+    if (path, key) not in _HELD:
+        _HELD.clear()
+        _HELD[path, key] = Codec(path, shared.value)
+    return _HELD[path, key]
+
+
 def encode(docs: DataFrame, path: str, text_col: str = "text", lexicon: bytes | None = None, decoded: bool = False, ids_col: str = "ids", text_out: str = "decoded") -> DataFrame:
     """docs without text_col, plus ids (binary, little-endian unsigned 32-bit) and on demand the decoded text.
 
@@ -263,16 +319,17 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", lexicon: bytes |
     made = [ids_col, text_out] if decoded else [ids_col]
     rest = [c for c in docs.columns if c != text_col and c.lower() not in [m.lower() for m in made]]
     shared = docs.sparkSession.sparkContext.broadcast(lexicon if lexicon is not None else build_lexicon(docs, path, text_col))
+    key = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = Codec(path, shared.value)
+        codec = worker_codec(path, key, shared)
         for s in batches:
             ids = [codec.encode(t) for t in s]
             yield pd.DataFrame({ids_col: ids} | ({text_out: [codec.decode(x) for x in ids]} if decoded else {}))
 
     udf = F.pandas_udf(run, ", ".join([f"`{ids_col}` binary"] + [f"`{text_out}` string"] * decoded)).asNondeterministic()
     m = fresh(docs.columns, "_bpe")
-    return docs.withColumn(m, udf(F.col(text_col))).select(*rest, f"{m}.*")
+    return frugal(docs).withColumn(m, udf(F.col(text_col))).select(*rest, f"{m}.*")
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "ids", text_out: str = "text") -> DataFrame:
@@ -284,4 +341,4 @@ def decode(docs: DataFrame, path: str, ids_col: str = "ids", text_out: str = "te
             yield pd.Series([codec.decode(x or b"") for x in s], dtype=object)
 
     rest = [c for c in docs.columns if c != ids_col and c.lower() != text_out.lower()]
-    return docs.select(*rest, F.pandas_udf(run, "string")(F.col(ids_col)).alias(text_out))
+    return frugal(docs).select(*rest, F.pandas_udf(run, "string")(F.col(ids_col)).alias(text_out))

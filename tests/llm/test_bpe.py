@@ -56,3 +56,16 @@ def test_encode_frame(spark, library):
     assert bpe.encode(docs.limit(0), PATH).count() == 0
     back = bpe.decode(bpe.encode(docs, PATH), PATH).orderBy("doc_id").collect()
     assert [r.text for r in back] == ["word " * 5000, rows[0][1], "", "", ""]
+
+
+def test_word_counts(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(["ab", "c", " ", "\n", ".", "'s", "  ", "\t", "é", "<|endoftext|>", "1"], k=rng.randint(0, 30))) for _ in range(200)] + ["plain words, stand\nalone here", None, ""]
+    want = {}
+    split = bpe.Splitter({"<|endoftext|>": 50256})
+    for t in texts:
+        for piece in (t or "").split("<|endoftext|>"):
+            for w in split.exact.findall(piece):
+                want[w.encode()] = want.get(w.encode(), 0) + 1
+    got = bpe.count_words(spark.createDataFrame([(t,) for t in texts], "text string"), PATH).collect()
+    assert {bytes(r.word): r.n for r in got} == want
