@@ -1,0 +1,47 @@
+"""Every registered query of the library against its SQL on the smallest tables."""
+
+import os
+
+import duckdb
+import pandas as pd
+import pytest
+
+import __spark_entry__
+from feedloom.plans.catalog import ORACLE, QUERIES
+
+SF = os.environ.get("FEEDLOOM_TEST_SF", "/root/testdata/sf0.001")
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    return con
+
+
+def plain(v):
+    if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        return None
+    return f"{v:.9g}" if isinstance(v, float) else str(v)
+
+
+def rows(df):
+    df = df[sorted(df.columns)]
+    return sorted(tuple(str(plain(v)) for v in r) for r in df.itertuples(index=False, name=None))
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, duck, name):
+    got = QUERIES[name](spark, SF).toPandas()
+    assert len(set(got.columns)) == len(got.columns)
+    if name in ORACLE:
+        want = duck.sql(ORACLE[name]).df()
+        assert sorted(got.columns) == sorted(want.columns)
+        assert rows(got) == rows(want)
+
+
+def test_entry(spark):
+    assert __spark_entry__.entry(spark).count() > 0
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
