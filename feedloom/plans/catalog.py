@@ -161,7 +161,7 @@ def gap_fill_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """with f as (select user_id, min((ts, event_id)) as place from events group by 1 order by place limit 50)
-       select event_id, user_id from events where (ts, event_id) <= (select max(place) from f)"""
+       select event_id, user_id from events where (select count(*) from f) < 50 or (ts, event_id) <= (select max(place) from f)"""
 )
 def max_items_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.max_items_prefix(table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "user_id", ["ts", "event_id"], 50).select("event_id", "user_id")
