@@ -6,7 +6,6 @@ Words are maximal runs of characters outside ASCII white space, which is what
 
 from __future__ import annotations
 
-import hashlib
 import os
 import tempfile
 import uuid
@@ -17,11 +16,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest
 
 #: Code points that separate words.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 #: Characters of text handled at once by the vectorised operators; bounds a worker's memory.
 CHUNK_CHARS = 3_000_000
+#: Rows of an Arrow batch of texts.
+ARROW_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +48,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def frugal(df: DataFrame) -> DataFrame:
+    """df, after bounding the rows that a Python worker gets at once: texts are long, and the default of 10,000
+    rows would hold several copies of tens of MB in each worker. A lower setting of the session stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= ARROW_ROWS:
+        conf.set(key, ARROW_ROWS)
+    return df
+
+
 class Scratch:
     """Parquet tables in the shared folder, for one run of an operator."""
 
@@ -109,18 +120,30 @@ class WordTable(dict):
 
     def __init__(self, most: int = 400_000):
         super().__init__()
-        self.most, self.hashes = most, []
+        self.most = most
+        self.known, self.size, self.pending = np.zeros(1024, np.uint64), 0, []
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self.hashes)
-        self.hashes.append(int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little"))
+        self[word] = n = len(self)
+        self.pending.append(xxh3_64_intdigest(word))
         return n
 
+    @property
+    def hashes(self) -> np.ndarray:
+        """The hashes of all numbered words in order."""
+        if self.pending:
+            end = self.size + len(self.pending)
+            if end > len(self.known):
+                self.known = np.concatenate([self.known[: self.size], np.zeros(end, np.uint64)])
+            self.known[self.size : end] = np.array(self.pending, np.uint64)
+            self.size, self.pending = end, []
+        return self.known[: self.size]
+
     def room(self) -> None:
         """Call between chunks: numbers stay valid within a chunk."""
         if len(self) > self.most:
             self.clear()
-            self.hashes = []
+            self.size, self.pending = 0, []
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """(word numbers of all texts in a row, start of each text and the end of the last)."""
@@ -132,7 +155,7 @@ class WordTable(dict):
         return (np.concatenate(ids) if ids else np.zeros(0, np.int64)), starts
 
     def hash_of(self, ids: np.ndarray) -> np.ndarray:
-        return np.array(self.hashes, np.uint64)[ids] if len(ids) else np.zeros(0, np.uint64)
+        return self.hashes[ids]
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

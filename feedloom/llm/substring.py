@@ -23,12 +23,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Rolling, Scratch, WordTable, chunks, fresh, mix64, signed, words
+from .common import Rolling, Scratch, WordTable, chunks, fresh, frugal, mix64, signed, words
 
-WINDOW, GRAM = 20, 6
-#: Runs that the index holds before they are merged, and the buckets of each run.
-MAX_RUNS, BUCKETS = 4, 32
-#: Ids up to this many are broadcast to pick the texts that a step needs; beyond it they are joined by a shuffle.
+WINDOW, GRAM = 20, 8
+#: Runs that the index holds before they are merged.
+MAX_RUNS = 4
+#: Facts of this many documents at most are broadcast to the texts; those of more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 _SEGMENT = "ah bigint, sh bigint, id bigint, at bigint, again boolean"
 
@@ -61,7 +61,8 @@ def segments(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int
     """(ah, sh, id, at, again) per segment: anchor and segment hashes, place packed as start * 64 + windows.
 
     A segment that came before in the same chunk of texts is marked: it has an earlier equal already, so
-    only its place is of use. This combines a hot passage before it is shuffled.
+    only its place is of use, and a random anchor spreads such rows evenly. This combines a hot passage before
+    it is shuffled.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,71 +85,81 @@ def segments(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int
                 first = np.unique(sh, return_index=True)[1]
                 again = np.ones(len(d), bool)
                 again[first] = False
+                ah[again] = mix64(sh[again] ^ mix64(s[again].astype(np.uint64)))
                 yield pd.DataFrame({"ah": signed(ah), "sh": signed(sh), "id": ids[a:b][d], "at": (s - starts[d]) * 64 + n, "again": again})
 
-    src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("id is not null")
+    src = frugal(docs).select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("id is not null")
     return src.mapInPandas(run, _SEGMENT)
 
 
 def windows_of(picked: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     """(ah, wh, id, at): the windows of the picked segments (ah, id, at), hashed from the texts (id, text)."""
     per = picked.groupBy("id").agg(F.collect_list(F.struct("ah", "at")).alias("segs"))
-    joined = pick(texts, per)
+    few = picked.select("id").distinct().count() <= BROADCAST_ROWS
+    joined = texts.join(F.broadcast(per) if few else per, "id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = WordTable()
         for pdf in batches:
-            for key, text, segs in zip(pdf["id"], pdf["text"], pdf["segs"], strict=True):
+            texts, out = pdf["text"].tolist(), []
+            for a, b in chunks(texts):
                 table.room()
-                num, _ = table.encode([text])
+                num, starts = table.encode(texts[a:b])
                 roll = Rolling(mix64(table.hash_of(num) + np.uint64(0x1D8E4E27C47D124F)))
-                at = np.array([s["at"] for s in segs], np.int64)
-                ah = np.array([s["ah"] for s in segs], np.int64)
+                segs = pdf["segs"].iloc[a:b]
+                size = segs.map(len).to_numpy()
+                at = np.fromiter((x["at"] for g in segs for x in g), np.int64, size.sum())
+                ah = np.fromiter((x["ah"] for g in segs for x in g), np.int64, size.sum())
+                doc = np.repeat(np.arange(b - a), size)
                 n = at & 63
                 s = np.repeat(at >> 6, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                yield pd.DataFrame({"ah": np.repeat(ah, n), "wh": signed(roll.span(s, s + window)), "id": key, "at": s})
-
-    return joined.select("id", "text", "segs").mapInPandas(run, "ah bigint, wh bigint, id bigint, at bigint")
-
+                doc = np.repeat(doc, n)
+                from_ = s + starts[doc]
+                out.append(pd.DataFrame({"ah": np.repeat(ah, n), "wh": signed(roll.span(from_, from_ + window)), "id": pdf["id"].to_numpy()[a:b][doc], "at": s}))
+            yield pd.concat(out) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("ah", "wh", "id", "at")})
 
-def pick(texts: DataFrame, per: DataFrame) -> DataFrame:
-    """texts joined with per on id: by broadcast if per is small, else by a shuffle."""
-    return texts.join(F.broadcast(per) if per.count() <= BROADCAST_ROWS // 5 else per, "id")
+    return frugal(joined).select("id", "text", "segs").mapInPandas(run, "ah bigint, wh bigint, id bigint, at bigint")
 
 
-def earliest(df: DataFrame, keys: list[str], extra: list[Column] = ()) -> DataFrame:
-    """Adds ``first``: whether the row is the earliest of its key."""
-    return df.withColumn("first", F.row_number().over(Window.partitionBy(*keys).orderBy(*extra, "id", "at")) == 1)
+def earliest(df: DataFrame, keys: list[str], *before: Column) -> DataFrame:
+    """Adds ``first``: whether the row is the earliest of its key; rows of one place are first together."""
+    return df.withColumn("first", F.rank().over(Window.partitionBy(*keys).orderBy(*before, "id", "at")) == 1)
 
 
 class FingerprintIndex:
-    """The runs of one index, as bucketed tables of the session's warehouse."""
+    """The runs of one index: tables of the session's warehouse, bucketed by anchor and sorted.
 
-    def __init__(self, spark: SparkSession, name: str | None = None, window: int = WINDOW, gram: int = GRAM, max_runs: int = MAX_RUNS, buckets: int = BUCKETS):
+    A run holds a batch's segments (ah, sh, id, at) with ``first``: whether the segment was new. All runs
+    have the same buckets, so that they are joined and counted per anchor without moving a row.
+    """
+
+    def __init__(self, spark: SparkSession, name: str | None = None, window: int = WINDOW, gram: int = GRAM, max_runs: int = MAX_RUNS, buckets: int | None = None):
         self.spark, self.name = spark, name or f"feedloom_fp_{uuid.uuid4().hex}"
-        self.window, self.gram, self.max_runs, self.buckets = window, gram, max_runs, buckets
+        self.window, self.gram, self.max_runs = window, gram, max_runs
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.runs: list[str] = []
         self.made = 0
 
-    def append(self, segs: DataFrame) -> None:
-        """Writes (ah, sh, id, at) as one sorted run."""
+    def append(self, segs: DataFrame) -> DataFrame:
+        """Writes a run; segs are already dealt out by ah into as many partitions as there are buckets."""
         self.made += 1
         name = f"{self.name}_{self.made}"
-        segs.select("ah", "sh", "id", "at").repartition(self.buckets, "ah").write.bucketBy(self.buckets, "ah").sortBy("ah", "sh").saveAsTable(name)
+        segs.select("ah", "sh", "id", "at", "first").write.bucketBy(self.buckets, "ah").sortBy("ah", "sh").saveAsTable(name)
         self.runs.append(name)
+        return self.spark.table(name)
 
     def history(self) -> list[DataFrame]:
-        return [self.spark.table(r) for r in self.runs]
+        """The new segments of each run."""
+        return [self.spark.table(r).where("first") for r in self.runs]
 
     def compact(self) -> None:
-        """Merges all runs into one. No segment is in two runs, so nothing else changes."""
-        old = self.runs
-        tables = self.history()
+        """Merges all runs into one. No segment is new in two runs, so nothing else changes."""
+        old, tables = self.runs, self.history()
         merged = tables[0]
         for t in tables[1:]:
             merged = merged.unionByName(t)
         self.runs = []
-        self.append(merged)
+        self.append(merged.repartition(self.buckets, "ah"))
         for r in old:
             self.spark.sql(f"drop table if exists {r}")
 
@@ -157,49 +168,39 @@ class FingerprintIndex:
             self.spark.sql(f"drop table if exists {r}")
         self.runs = []
 
-    def add(self, batch: DataFrame, texts: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def add(self, batch: DataFrame, texts: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", after: int | None = None) -> DataFrame:
         """(id, start, end): the spans of words of the batch that occur earlier. The batch becomes part of the index.
 
-        batch: documents with ids above all earlier ones. texts: (id, text) of the batch and of all earlier
-        documents; of these only such texts are read as share an anchor with a different segment.
+        batch: documents with ids above ``after`` and all earlier ones. texts: (id, text) of the batch and of
+        all earlier documents; of these only such texts are read as share an anchor with a different segment.
         """
-        segs = scratch.keep(segments(batch, id_col, text_col, self.window, self.gram))
-        spans = [segs.where("again").select("id", "at")]
-        rest = segs.where("not again").select("ah", "sh", "id", "at").repartition(self.buckets, "ah")
-        for run in self.history():  # the run is bucketed and sorted by ah: a merge join without moving it
+        old_runs = self.history()
+        segs = segments(batch, id_col, text_col, self.window, self.gram).repartition(self.buckets, "ah").withColumn("old", F.lit(False))
+        for run in old_runs:  # a merge join in which the run does not move
             known = run.select("ah", "sh", F.lit(True).alias("known"))
-            rest = rest.join(known.hint("merge"), ["ah", "sh"], "left")
-            rest = rest.withColumn("old", F.coalesce("known", F.lit(False)) | (F.col("old") if "old" in rest.columns else F.lit(False))).drop("known")
-        if not self.runs:
-            rest = rest.withColumn("old", F.lit(False))
-        judged = scratch.keep(earliest(rest, ["ah", "sh"]).withColumn("first", F.col("first") & ~F.col("old")))
-        spans.append(judged.where("not first").select("id", "at"))
-        new = judged.where("first").select("ah", "sh", "id", "at")
-
-        # anchors with several different segments, one of them new
-        many = new.select("ah", F.lit(1).cast("bigint").alias("fresh"))
-        for run in self.history():
-            many = many.unionByName(run.select("ah", F.lit(0).cast("bigint").alias("fresh")))
-        many = many.groupBy("ah").agg(F.count(F.lit(1)).alias("n"), F.max("fresh").alias("fresh")).where("n > 1 and fresh = 1").select("ah")
-        many = scratch.keep(many)
-        all_segs = [new.withColumn("new", F.lit(True)), *(r.select("ah", "sh", "id", "at").withColumn("new", F.lit(False)) for r in self.history())]
+            segs = segs.join(known.hint("merge"), ["ah", "sh"], "left").withColumn("old", F.col("old") | F.coalesce("known", F.lit(False))).drop("known")
+        judged = earliest(segs, ["ah", "sh"]).withColumn("first", F.col("first") & ~F.col("old") & ~F.col("again"))
+        run = self.append(judged)
+        spans = run.where("not first").select("id", "at")
+
+        # anchors with several different segments, one of them new: their windows are compared
+        counts = run.where("first").groupBy("ah").agg(F.count(F.lit(1)).alias("n"))
+        for r in old_runs:
+            counts = counts.join(r.groupBy("ah").agg(F.count(F.lit(1)).alias("m")).hint("merge"), "ah", "left").select("ah", (F.col("n") + F.coalesce("m", F.lit(0))).alias("n"))
+        many = counts.where("n > 1").select("ah")
         picked = None
-        for s in all_segs:
-            some = s.join(many, "ah", "left_semi").select("ah", "id", "at", "new")
+        for r in [run.where("first"), *old_runs]:
+            some = r.join(many.hint("merge"), "ah", "left_semi").select("ah", "id", "at")
             picked = some if picked is None else picked.unionByName(some)
-        picked = scratch.keep(picked)
-        wins = windows_of(picked.select("ah", "id", "at"), texts, self.window)
-        late = earliest(wins.distinct(), ["ah", "wh"]).where("not first").select("id", (F.col("at") * 64 + 1).alias("at"))
-        least = new.agg(F.min("id")).first()[0] if self.runs else None
-        if least is not None:  # spans of earlier batches have been told
-            late = late.where(F.col("id") >= least)
-        spans.append(late)
-        self.append(new)
+        wins = windows_of(scratch.keep(picked), texts, self.window)
+        late = earliest(wins, ["ah", "wh"]).where("not first").select("id", (F.col("at") * 64 + 1).alias("at"))
+        if after is not None:  # spans of earlier batches have been told
+            late = late.where(F.col("id") > after)
+        start = F.shiftright("at", 6)
+        told = scratch.keep(spans.unionByName(late).select("id", start.alias("start"), (start + F.col("at").bitwiseAND(63) + self.window - 1).alias("end")))
         if len(self.runs) > self.max_runs:
             self.compact()
-        all_spans = spans[0].unionByName(spans[1]).unionByName(spans[2])
-        start = F.shiftright("at", 6)
-        return scratch.keep(all_spans.select("id", start.alias("start"), (start + F.col("at").bitwiseAND(63) + self.window - 1).alias("end")))
+        return told
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", batches: int = 2, **index) -> DataFrame:
@@ -215,7 +216,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", te
             own = F.lit(True) if low is None else F.col(id_col) > low
             own = own if high is None else own & (F.col(id_col) <= high)
             seen = texts if high is None else texts.where(F.col("id") <= high)
-            spans = idx.add(docs.where(own), seen, scratch, id_col, text_col)
+            spans = idx.add(docs.where(own), seen, scratch, id_col, text_col, low)
             out, low = spans if out is None else out.unionByName(spans), high
     finally:
         idx.drop()
@@ -233,14 +234,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     scratch = scratch or Scratch(docs.sparkSession)
     spans = repeated_spans(docs, scratch, id_col, text_col, batches, **index)
-    # covering spans merged per document, so that a document's array is shorter than its text
-    w = Window.partitionBy("id").orderBy("start", "end")
-    reach = spans.distinct().withColumn("reach", F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    island = reach.withColumn("island", F.sum(F.when(F.col("start") <= F.col("reach"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = island.groupBy("id", "island").agg(F.min("start").alias("a"), F.max("end").alias("b"))
     i, sp, m = (fresh(docs.columns, x) for x in ("_id", "_spans", "_cut"))
-    per = scratch.keep(merged.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")).select(F.col("id").alias(i), F.col("spans").alias(sp)))
-    joined = docs.join(F.broadcast(per) if per.count() <= BROADCAST_ROWS else per, F.col(id_col).cast("bigint") == F.col(i), "left")
+    # a document's array is no longer than its text
+    per = scratch.keep(spans.groupBy(F.col("id").alias(i)).agg(F.collect_set(F.struct(F.col("start").alias("a"), F.col("end").alias("b"))).alias(sp)))
+    few = per.count() <= BROADCAST_ROWS
+    joined = docs.join(F.broadcast(per) if few else per, F.col(id_col).cast("bigint") == F.col(i), "left")
 
     @F.pandas_udf("n_words bigint, n_removed bigint, kept string")
     def apply(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -249,14 +247,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for t, cuts in zip(text, spans, strict=True):
                 ws = words(t if isinstance(t, str) else None)
                 left, last = [], 0
-                for c in cuts if cuts is not None else ():
-                    left += ws[last : c["a"]]
-                    last = c["b"]
+                for a, b in sorted((c["a"], c["b"]) for c in (cuts if cuts is not None else ())):
+                    left += ws[last:a]
+                    last = max(last, b)
                 left += ws[last:]
                 rows.append((len(ws), len(ws) - len(left), b" ".join(left).decode("utf-8", "replace")))
             yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
 
     rest = [c for c in docs.columns if c != text_col and c.lower() not in ("n_words", "n_removed", "kept")]
-    return joined.withColumn(m, apply.asNondeterministic()(F.col(text_col), F.col(sp))).select(*rest, f"{m}.*")
+    return frugal(joined).withColumn(m, apply.asNondeterministic()(F.col(text_col), F.col(sp))).select(*rest, f"{m}.*")
 
 
