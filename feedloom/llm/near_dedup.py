@@ -8,8 +8,8 @@ are verified on whole texts by weighted Jaccard similarity, and verified links f
 
 Large buckets. Only connectivity matters, and 1 - weighted Jaccard is a metric. So a bucket's members are
 first compared with one leader; pairs already connected, and pairs that the triangle inequality excludes,
-need no comparison. What remains is compared with more leaders per round until nothing remains, so no link
-among bucket mates is lost and a tight group costs time linear in its size.
+need no comparison. Of what remains, small buckets are compared pair by pair, and large ones block against
+block, in matrix products of which only links leave the task. No link among bucket mates is lost.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, WordTable, chunks, cut, group_facts, mix64, signed, words
+from .common import Rolling, WordTable, chunks, cut, frugal, group_facts, mix64, signed, words
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
@@ -32,6 +32,8 @@ BANDS, ROWS = 16, 4
 IDF_SHARE = 1e-3
 _POOL = 1 << 16
 _SMALL = 16
+#: Documents and characters of a block of a large bucket.
+_BLOCK_DOCS, _BLOCK_CHARS = 512, 4_000_000
 _BROADCAST_ROWS = 500_000
 
 
@@ -54,7 +56,7 @@ def word_counts(docs: DataFrame, text_col: str, most: int = 300_000) -> DataFram
                     yield out()
         yield out()
 
-    return docs.select(text_col).mapInPandas(run, "w bigint, df bigint").groupBy("w").agg(F.sum("df").alias("df"))
+    return frugal(docs).select(text_col).mapInPandas(run, "w bigint, df bigint").groupBy("w").agg(F.sum("df").alias("df"))
 
 
 class Weights:
@@ -85,7 +87,7 @@ def shingles(texts: list, table: WordTable, weights: Weights) -> tuple[np.ndarra
     """
     ids, starts = table.encode(texts)
     h = table.hash_of(ids)
-    idf = np.concatenate([[0.0], np.cumsum(weights.of(np.array(table.hashes, np.uint64)).astype(np.float64)[ids])]) if len(ids) else np.zeros(1)
+    idf = np.concatenate([[0.0], np.cumsum(weights.of(h), dtype=np.float64)])
     roll = Rolling(h)
     out_h, out_c, out_w, at = [], [], [], np.zeros(len(texts) + 1, np.int64)
     for i in range(len(texts)):
@@ -137,9 +139,9 @@ class Sampler:
         for j in range(len(self.mult)):
             idx = (small * self.mult[j] + self.plus[j]) >> np.uint32(16)
             best = np.minimum.reduceat(idx, starts[:-1])
-            near = np.flatnonzero(idx <= np.repeat(self.reach[best], size))
-            if len(many):
-                near = np.union1d(near, many)
+            may = idx <= np.repeat(self.reach[best], size)
+            may[many] = True
+            near = np.flatnonzero(may)
             k = idx[near]
             r, b = self.r[k], self.b[k]
             v = (self.c[k] - r * (np.floor(lw[near] / r + b) - b + 1)).astype(np.float32).view(np.int32)
@@ -178,7 +180,7 @@ def signatures(docs: DataFrame, weights: Weights, id_col: str, text_col: str, ba
                         f1[i], f2[i], keys[i] = p1[k], p2[k], signed(key[k])
                 yield pd.DataFrame({"id": ids.iloc[a:b].to_numpy(), "f1": pd.array(f1, "Int64"), "f2": pd.array(f2, "Int64"), "bands": keys})
 
-    src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id is not null")
+    src = frugal(docs).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     return src.mapInPandas(run, "id bigint, f1 bigint, f2 bigint, bands array<bigint>")
 
 
@@ -220,7 +222,7 @@ def verify(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
             sims = [similarity(weighed((a, ta), ta), weighed((b, tb), tb)) for a, ta, b, tb in zip(pdf["a"], pdf["ta"], pdf["b"], pdf["tb"], strict=True)]
             yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "sim": sims})
 
-    out = both.select("a", "ta", "b", "tb").mapInPandas(run, "a bigint, b bigint, sim double")
+    out = frugal(both).select("a", "ta", "b", "tb").mapInPandas(run, "a bigint, b bigint, sim double")
     return out.groupBy("a", "b").agg(F.max("sim").alias("sim"))
 
 
@@ -239,43 +241,105 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def block_links(x: tuple, y: tuple, threshold: float) -> np.ndarray:
+    """The pairs of rows (i of x, j of y) whose weighted Jaccard reaches the threshold.
+
+    x and y are (hashes, counts, weights, starts) of blocks. A shingle that occurs c times is c features of
+    its weight per occurrence, so shared weight is one product of 0/1 matrices over the features of both.
+    """
+
+    def spread(b):
+        h, c, w, at = b
+        doc = np.repeat(np.repeat(np.arange(len(at) - 1), np.diff(at)), c)
+        nth = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+        with np.errstate(over="ignore"):
+            f = mix64(np.repeat(h, c) + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return doc, f, np.repeat(w / c, c), np.array([w[i:j].sum() for i, j in zip(at[:-1], at[1:], strict=True)])
+
+    (dx, fx, wx, tx), (dy, fy, _, ty) = spread(x), spread(y)
+    both, first = np.unique(fx, return_index=True)
+    keep = np.isin(both, fy)
+    both, weight = both[keep], wx[first[keep]]
+    shared = np.zeros((len(tx), len(ty)))
+    for lo in range(0, len(both), 4096):  # bounds the matrices
+        part, w = both[lo : lo + 4096], weight[lo : lo + 4096]
+        m = []
+        for d, f, n in ((dx, fx, len(tx)), (dy, fy, len(ty))):
+            at = np.minimum(np.searchsorted(part, f), len(part) - 1)
+            hit = part[at] == f
+            m.append(np.zeros((n, len(part))))
+            m[-1][d[hit], at[hit]] = 1.0
+        shared += (m[0] * w) @ m[1].T
+    total = tx[:, None] + ty[None, :]
+    return np.argwhere((shared > 0) & (shared >= threshold * (total - shared) - 1e-9))
+
+
+def large_links(open_: DataFrame, texts: DataFrame, weights: Weights, threshold: float) -> DataFrame:
+    """(a, b) links among the members (key, id, label) of large buckets, found block against block.
+
+    A bucket is cut into blocks of a bounded size; each pair of blocks is one row, compared inside one task
+    by matrix products, and only links leave it. Every pair of different labels is compared.
+    """
+    spark = open_.sparkSession
+    held = open_.join(texts, "id")
+    held = held.withColumn("chars", F.length("text"))
+    rows, facts = group_facts(held, ["key"], F.col("id"), {"m": (F.sum, F.lit(1).cast("bigint")), "c": (F.sum, F.col("chars").cast("bigint"))}, salts=16)
+    cells = F.greatest(F.ceil(F.col("m") / _BLOCK_DOCS), F.ceil(F.col("c") / _BLOCK_CHARS))
+    rows = rows.join(facts, ["key", "_salt"]).withColumn("blocks", cells).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    # a block goes to each of its pairs of blocks; side tells which half of the pair it is
+    each = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    lo, hi = F.least("block", "other"), F.greatest("block", "other")
+    pairs = each.select("key", lo.alias("lo"), hi.alias("hi"), (F.col("block") > F.col("other")).alias("side"), "id", "label", "text")
+    met = pairs.groupBy("key", "lo", "hi").agg(F.collect_list(F.struct("side", "id", "label", "text")).alias("docs")).select("lo", "hi", "docs")
+    shared = spark.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table, w = WordTable(), shared.value
+        for pdf in batches:
+            for same, docs in zip(pdf["lo"] == pdf["hi"], pdf["docs"], strict=True):
+                table.room()
+                sides = [[d for d in docs if d["side"] == s] for s in (False, True)]
+                if same:
+                    sides[1] = sides[0]
+                if not sides[0] or not sides[1]:
+                    continue
+                x = shingles([d["text"] for d in sides[0]], table, w)
+                y = x if same else shingles([d["text"] for d in sides[1]], table, w)
+                found = [(sides[0][i], sides[1][j]) for i, j in block_links(x, y, threshold)]
+                links = sorted({(min(p["id"], q["id"]), max(p["id"], q["id"])) for p, q in found if p["label"] != q["label"]})
+                yield pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+
+    return frugal(met).mapInPandas(run, "a bigint, b bigint").distinct()
+
+
 def near_links(members: DataFrame, texts: DataFrame, weights: Weights, threshold: float) -> DataFrame:
     """(id, label) of all ids that have a link, for bucket members (key, id)."""
-    rows, facts = group_facts(members, ["key"], F.struct("id", "key"), {"lead": (F.min, F.col("id")), "n": (F.sum, F.lit(1).cast("bigint"))}, salts=16)
-    active = cut(rows.join(facts.where("n > 1"), ["key", "_salt"]).select("key", "id", "lead"))
+    rows, facts = group_facts(members, ["key"], F.struct("id", "key"), {"n": (F.sum, F.lit(1).cast("bigint"))}, salts=16)
+    mates = cut(rows.join(facts.where("n > 1"), ["key", "_salt"]).select("key", "id", "n"))
+    # the leader of a bucket is its member with the most mates in all bands: in a group of copies that is the
+    # text closest to the others, most of which it links at once
+    known = mates.groupBy("id").agg(F.sum("n").alias("mates"))
+    rows, facts = group_facts(mates.join(known, "id"), ["key"], F.struct("id", "key"), {"best": (F.max, F.struct("mates", F.bitwise_not("id").alias("o"), "id"))}, salts=16)
+    active = cut(rows.join(facts, ["key", "_salt"]).select("key", "id", F.col("best.id").alias("lead")))
     first = active.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     checked = cut(verify(cut(first), texts, weights))
     labels = components(checked.where(F.col("sim") >= threshold))
-    # the distance to the bucket's first leader excludes pairs by the triangle inequality
+    # what the leaders leave open: mates of different labels that the distance to the leader does not exclude
     d = checked.select(F.col("a").alias("lead"), F.col("b").alias("id"), (1 - F.col("sim")).alias("d"))
-    active = active.where("id <> lead").join(d, ["lead", "id"])
-    leaders = 4
-    while True:
-        now = labels.select("id", "label")
-        active = active.join(now, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        head = now.select(F.col("id").alias("lead"), F.col("label").alias("head"))
-        active = active.join(head, "lead", "left").withColumn("home", F.col("label") == F.coalesce("head", "lead"))
-        rows, facts = group_facts(active, ["key"], F.struct("id", "key"), {"lo": (F.min, F.col("label")), "hi": (F.max, F.col("label")), "n": (F.sum, F.lit(1).cast("bigint")), "gap": (F.min, F.when(~F.col("home"), F.col("d")))}, salts=16)
-        open_ = rows.join(facts.where("lo < hi"), ["key", "_salt"])
-        open_ = cut(open_.where(~F.col("home") | (F.col("d") >= F.col("gap") - (1 - threshold) - 1e-9)).select("key", "id", "lead", "d", "label", "n"))
-        if open_.limit(1).count() == 0:
-            return labels
-        x, y = (open_.select("key", *(F.col(c).alias(c + s) for c in ("id", "d", "label", "n"))) for s in "xy")
-        may = (F.col("labelx") != F.col("labely")) & (F.abs(F.col("dx") - F.col("dy")) <= 1 - threshold + 1e-9)
-        small = x.where(f"nx <= {_SMALL}").join(y.where(f"ny <= {_SMALL}"), "key").where(may & (F.col("idx") < F.col("idy")))
-        big = open_.where(f"n > {_SMALL}").withColumn("slot", F.pmod(F.xxhash64("id", "key"), F.lit(leaders)))
-        picked = cut(big.groupBy("key", "slot").agg(F.min(F.struct("id", "d", "label")).alias("p")).select("key", F.col("p.id").alias("idy"), F.col("p.d").alias("dy"), F.col("p.label").alias("labely")))
-        large = x.where(f"nx > {_SMALL}").join(picked, "key").where(may & (F.col("idx") != F.col("idy")))
-        pairs = small.select("idx", "idy").union(large.select("idx", "idy"))
-        pairs = pairs.select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")).distinct().join(checked.select(F.col("a").alias("ca"), F.col("b").alias("cb")), (F.col("a") == F.col("ca")) & (F.col("b") == F.col("cb")), "left_anti")
-        more = cut(verify(cut(pairs), texts, weights))
-        new = more.where(F.col("sim") >= threshold)
-        if new.limit(1).count():
-            labels = components(labels.select(F.col("label").alias("a"), F.col("id").alias("b")).union(new.select("a", "b")))
-        checked = cut(checked.union(more))
-        # leaders have met every mate that they could be linked with
-        active = open_.where(f"n > {_SMALL}").join(picked.select("key", F.col("idy").alias("id")), ["key", "id"], "left_anti").select("key", "id", "lead", "d")
-        leaders *= 4
+    rest = active.where("id <> lead").join(d, ["lead", "id"]).join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    head = labels.select(F.col("id").alias("lead"), F.col("label").alias("head"))
+    rest = rest.join(head, "lead", "left").withColumn("home", F.col("label") == F.coalesce("head", "lead"))
+    rows, facts = group_facts(rest, ["key"], F.struct("id", "key"), {"lo": (F.min, F.col("label")), "hi": (F.max, F.col("label")), "n": (F.sum, F.lit(1).cast("bigint")), "gap": (F.min, F.when(~F.col("home"), F.col("d")))}, salts=16)
+    open_ = rows.join(facts.where("lo < hi"), ["key", "_salt"])
+    open_ = cut(open_.where(~F.col("home") | (F.col("d") >= F.col("gap") - (1 - threshold) - 1e-9)).select("key", "id", "d", "label", "n"))
+    x, y = (open_.where(f"n <= {_SMALL}").select("key", *(F.col(c).alias(c + s) for c in ("id", "d", "label"))) for s in "xy")
+    may = (F.col("labelx") != F.col("labely")) & (F.abs(F.col("dx") - F.col("dy")) <= 1 - threshold + 1e-9) & (F.col("idx") < F.col("idy"))
+    pairs = cut(x.join(y, "key").where(may).select(F.col("idx").alias("a"), F.col("idy").alias("b")).distinct())
+    found = verify(pairs, texts, weights).where(F.col("sim") >= threshold).select("a", "b")
+    found = cut(found.unionByName(large_links(open_.where(f"n > {_SMALL}").select("key", "id", "label"), texts, weights, threshold)))
+    if found.limit(1).count() == 0:
+        return labels
+    return components(labels.select(F.col("label").alias("a"), F.col("id").alias("b")).union(found))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
