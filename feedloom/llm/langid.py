@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh
+from .common import chunks, cut, fresh, frugal
 
 ORDER = 3
 #: The model is fitted on about so many rows of each language, chosen by a hash of their ids: this bounds it.
@@ -37,9 +37,10 @@ def windows(data: np.ndarray) -> np.ndarray:
 def sample(docs: DataFrame, allowed: Column, id_col: str, lang_col: str, rows: int = TRAIN_ROWS) -> DataFrame:
     """About ``rows`` labelled rows of each language. A row's place depends on its id alone."""
     good = docs.where(allowed & F.col(lang_col).isNotNull())
-    sizes = cut(good.groupBy(F.col(lang_col).alias("_lang")).agg(F.count(F.lit(1)).alias("_n")))
+    key, n = fresh(docs.columns, "_lang"), fresh(docs.columns, "_n")
+    sizes = cut(good.groupBy(F.col(lang_col).alias(key)).agg(F.count(F.lit(1)).alias(n)))
     place = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return good.join(F.broadcast(sizes), F.col(lang_col) == F.col("_lang")).where(place * F.col("_n") < rows)
+    return good.join(F.broadcast(sizes), F.col(lang_col) == F.col(key)).where(place * F.col(n) < rows).drop(key, n)
 
 
 class PPM:
@@ -165,7 +166,7 @@ def train(labelled: DataFrame, text_col: str, lang_col: str) -> PPM:
                     yield pd.DataFrame({"lang": lang, "g": g.astype(np.int64), "n": n})
 
     src = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = src.mapInPandas(run, "lang string, g bigint, n bigint").groupBy("lang", "g").agg(F.sum("n").alias("n")).toPandas()
+    rows = frugal(src).mapInPandas(run, "lang string, g bigint, n bigint").groupBy("lang", "g").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(rows["lang"].unique())
     return PPM(langs, [(x["g"].to_numpy().astype(np.uint32), x["n"].to_numpy(float)) for x in (rows[rows["lang"] == k] for k in langs)])
 
@@ -180,8 +181,6 @@ def identify(docs: DataFrame, model: PPM, text_col: str = "text") -> DataFrame:
 
     @F.pandas_udf("lang_pred string, score double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        from .common import chunks
-
         m = shared.value
         for s in batches:
             texts = [t if isinstance(t, str) else None for t in s]
@@ -190,4 +189,4 @@ def identify(docs: DataFrame, model: PPM, text_col: str = "text") -> DataFrame:
 
     m = fresh(docs.columns, "_lang")
     rest = [c for c in docs.columns if c != text_col and c.lower() not in ("lang_pred", "score")]
-    return docs.withColumn(m, scored.asNondeterministic()(F.col(text_col))).select(*rest, f"{m}.*")
+    return frugal(docs).withColumn(m, scored.asNondeterministic()(F.col(text_col))).select(*rest, f"{m}.*")

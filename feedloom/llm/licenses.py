@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, frugal
 
 #: Base phrases and their labels (fixed values).
 BASE_PHRASES = {
@@ -222,4 +222,4 @@ def scan(docs: DataFrame, text_col: str = "text", phrases: dict[str, str] | None
     made = [x.split()[0] for x in _SCHEMA.split("array")[0].split(", ")]
     m = fresh(docs.columns, "_scan")
     rest = [c for c in docs.columns if c != text_col and c.lower() not in made]
-    return docs.withColumn(m, scanned.asNondeterministic()(F.col(text_col))).select(*rest, f"{m}.*")
+    return frugal(docs).withColumn(m, scanned.asNondeterministic()(F.col(text_col))).select(*rest, f"{m}.*")

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, CHUNK_CHARS, WordTable, chunks, cut, fresh, group_facts
+from .common import ASCII_SPACE, CHUNK_CHARS, WordTable, chunks, cut, fresh, frugal, group_facts
 
 _SYMBOLS = "#*$%&|<>"
 MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
@@ -112,6 +112,7 @@ def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", id_
     of docs that has a result's name is replaced by the result. An empty table gives no rows.
     """
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "soft_failed", "host_rate", "host_strict", "kept"]
+    docs = frugal(docs)
     rest = [c for c in docs.columns if c != text_col and c.lower() not in made]
     m = fresh(docs.columns, "_m")
     doc = docs.withColumn(m, measures(F.col(text_col))).select(*rest, f"{m}.*")
@@ -141,6 +142,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",
     The texts are measured and passed on in one scan; only the few hosts' sums are shuffled, and their
     verdicts, one row per host, come back by a join.
     """
+    docs = frugal(docs)
     names = docs.columns
     m, h = fresh(names, "_m"), fresh(names, "_host")
     base, soft = F.expr(BASE_RULE), F.expr(" or ".join(f"({r})" for r in SOFT_RULES.values()))

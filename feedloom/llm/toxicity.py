@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, words
+from .common import cut, fresh, frugal, words
 
 #: Insults that are terms from the start (fixed values).
 SEED_TERMS = """
@@ -200,7 +200,8 @@ def sample(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str, tex
     share = rows / max(1, lab.count())
     place = F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = cut(lab.where(place < share).groupBy("_id").agg(F.max("label").alias("label")))
-    return cut(docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(F.col(text_col).alias("text"), "label"))
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    return cut(texts.join(F.broadcast(chosen), "_id").select("text", "label"))
 
 
 def learn_terms(rows: DataFrame) -> list[tuple[str, bool, float]]:
@@ -219,7 +220,7 @@ def learn_terms(rows: DataFrame) -> list[tuple[str, bool, float]]:
     pos, neg = n.get(1, 0), n.get(0, 0)
     if not pos or not neg:
         return []
-    counts = rows.mapInPandas(run, "term string, stem boolean, a bigint, b bigint").groupBy("term", "stem").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counts = frugal(rows).mapInPandas(run, "term string, stem boolean, a bigint, b bigint").groupBy("term", "stem").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     p = pos / (pos + neg)
     a, b = F.col("a"), F.col("b")
     part = lambda x, q: F.when(x > 0, x * F.log(x / ((a + b) * q))).otherwise(0.0)
@@ -273,7 +274,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "do
         for pdf in batches:
             yield pd.DataFrame({"x": [features(t, matcher) for t in pdf["text"]], "y": pdf["label"].astype(float)})
 
-    got = some.mapInPandas(run, "x array<double>, y double").toPandas()
+    got = frugal(some).mapInPandas(run, "x array<double>, y double").toPandas()
     if got["y"].nunique() < 2:
         return Model(terms, np.array([1.0, 0.2, 0.3, 0.5, 0.5, 0.1, 0.1, -3.0]))
     return Model(terms, fit(np.array(got["x"].tolist()), got["y"].to_numpy()))
@@ -297,4 +298,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     rest = [c for c in docs.columns if c != text_col and c.lower() != "score"]
     s = fresh(docs.columns, "_score")
-    return docs.withColumn(s, scored(F.col(text_col))).select(*rest, F.col(s).alias("score"))
+    return frugal(docs).withColumn(s, scored(F.col(text_col))).select(*rest, F.col(s).alias("score"))

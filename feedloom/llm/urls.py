@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, frugal
 
 #: (host, path, verdict): fixed values.
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -83,7 +83,7 @@ def judge(pages: DataFrame, url_col: str = "url", rules=None, strict=None, soft=
     made = ("host", "path", "rule", "n_strict", "n_soft", "verdict")
     rest = [c for c in pages.columns if c.lower() not in made or c == url_col]
     u, m, r = (fresh(pages.columns, x) for x in ("_url", "_hits", "_rule"))
-    out = pages.withColumn(u, F.col(url_col)).select(*rest, u).withColumn(m, counted.asNondeterministic()(F.col(u)))
+    out = frugal(pages).withColumn(u, F.col(url_col)).select(*rest, u).withColumn(m, counted.asNondeterministic()(F.col(u)))
     out = out.withColumn("host", host_of(F.col(u))).withColumn("path", path_of(F.col(u))).withColumn(r, rule_of(F.col("host"), F.col("path"), rules))
     bad = (F.col(f"{m}.n_strict") >= 1) | (F.col(f"{m}.n_soft") >= soft_hits)
     verdict = F.coalesce(F.col(f"{r}.verdict"), F.when(bad, "block").otherwise("allow"))
