@@ -1,8 +1,10 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names, for every operator."""
 
 import hashlib
+import math
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -157,6 +159,23 @@ def test_mixing_hits_the_weights(spark):
     assert again.count() == sum(got.values())
 
 
+def test_mixing_repeats_a_rare_source_at_any_rate(spark):
+    d = spark.range(60_001).select(F.col("id").alias("doc_id"), F.when(F.col("id") > 0, F.concat(F.lit("s"), F.col("id") % 4)).alias("source"))
+    got = mixing.mix(d, facts=True).where("source is null").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("replica").alias("replicas"), F.max("replica").alias("last"), F.first("repetitions").alias("reps")).first()
+    assert got.n == got.replicas == got.last + 1 == got.reps and abs(got.n - 60_001 / 5) < 6 * (60_001 / 5) ** 0.5
+
+
+def test_poisson_quantile_by_definition():
+    u = np.random.default_rng(7).uniform(size=40)
+    for rate in (1e-9, 0.02, 0.7, 3.0, 40.5, 190.0, 12_000.2, 750_000.0):
+        wide = int(15 * rate**0.5 + 40)
+        at = range(max(0, int(rate) - wide), int(rate) + wide)
+        below = np.cumsum([math.exp(-rate + k * math.log(rate) - math.lgamma(k + 1)) for k in at])
+        want = [at[0] + int((below <= x).sum()) for x in u]
+        assert mixing.poisson_quantile(np.full(40, rate), u, {}).tolist() == want
+    assert mixing.poisson_quantile(np.zeros(40), u, {}).tolist() == [0] * 40
+
+
 def test_urls(spark):
     rows = [(1, None), (2, ""), (3, "no scheme"), (4, "http://WWW.Example.COM/en/x?q"), (5, "http://example.com/en/"), (6, "http://a.com"), (7, "http://a.com/"), (8, "https://x.org/adult?x"), (9, "https://x.org/adulthood"), (10, "https://x.org/free-bets"), (11, "https://x.org/free-free"), (12, "https://b.net/fr/adult"), (13, "https://xcom/"), (14, "a://b://c/d"), (14, "a://b://c/d"), (15, "x" * 100_000 + "://org-casino-x/")]
     d = spark.createDataFrame(rows, "page_id long, url string")
