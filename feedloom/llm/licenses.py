@@ -25,9 +25,9 @@ BASE_PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: label, keyword, names as regexes over words (fixed values).
+#: label, keywords of which each name holds one, names as regexes over words (fixed values).
 LICENSES = [
-    ("mit", "mit", r"mit|expat"),
+    ("mit", "mit|expat", r"mit|expat"),
     ("mit-0", "mit", r"mit no attribution|mit 0"),
     ("x11", "x11", r"x11|mit x11"),
     ("apache-2", "apache", r"apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?"),
@@ -37,7 +37,7 @@ LICENSES = [
     ("gpl-3", "general", r"(?:gnu )?general public license(?: version| v)? ?3"),
     ("gpl-2", "gpl", r"(?:gnu )?gpl(?: version| v)? ?2|gplv2"),
     ("gpl-3", "gpl", r"(?:gnu )?gpl(?: version| v)? ?3|gplv3"),
-    ("lgpl-2", "lesser", r"(?:gnu )?(?:lesser|library) general public license(?: version| v)? ?2(?: 0)?"),
+    ("lgpl-2", "lesser|library", r"(?:gnu )?(?:lesser|library) general public license(?: version| v)? ?2(?: 0)?"),
     ("lgpl-2.1", "lesser", r"(?:gnu )?lesser general public license(?: version| v)? ?2 1"),
     ("lgpl-3", "lesser", r"(?:gnu )?lesser general public license(?: version| v)? ?3"),
     ("lgpl-2.1", "lgpl", r"lgpl(?: version| v)? ?2 1|lgplv2 1"),
@@ -46,10 +46,10 @@ LICENSES = [
     ("agpl-3", "agpl", r"agpl(?: version| v)? ?3|agplv3"),
     ("gfdl-1.3", "documentation", r"(?:gnu )?free documentation license(?: version| v)? ?1 3"),
     ("gfdl-1.2", "documentation", r"(?:gnu )?free documentation license(?: version| v)? ?1 2"),
-    ("bsd-2", "bsd", r"(?:simplified|freebsd|bsd 2 clause|2 clause bsd)(?: bsd)?"),
+    ("bsd-2", "bsd|simplified", r"(?:simplified|freebsd|bsd 2 clause|2 clause bsd)(?: bsd)?"),
     ("bsd-3", "bsd", r"(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)"),
     ("bsd-4", "bsd", r"(?:original bsd|bsd 4 clause|4 clause bsd)"),
-    ("0bsd", "0bsd", r"zero clause bsd|0bsd"),
+    ("0bsd", "0bsd|zero clause", r"zero clause bsd|0bsd"),
     ("isc", "isc", r"isc"),
     ("mpl-1.1", "mozilla", r"mozilla public license(?: version| v)? ?1 1"),
     ("mpl-2", "mozilla", r"mozilla public license(?: version| v)? ?2(?: 0)?"),
@@ -57,7 +57,7 @@ LICENSES = [
     ("epl-1", "eclipse", r"eclipse public license(?: version| v)? ?1(?: 0)?"),
     ("epl-2", "eclipse", r"eclipse public license(?: version| v)? ?2(?: 0)?"),
     ("edl-1", "eclipse", r"eclipse distribution license(?: version| v)? ?1(?: 0)?"),
-    ("cddl-1", "cddl", r"cddl(?: version| v)? ?1(?: 0)?|common development and distribution license"),
+    ("cddl-1", "cddl|common", r"cddl(?: version| v)? ?1(?: 0)?|common development and distribution license"),
     ("cpl-1", "common", r"common public license(?: version| v)? ?1(?: 0)?"),
     ("artistic-1", "artistic", r"artistic license(?: version| v)? ?1(?: 0)?"),
     ("artistic-2", "artistic", r"artistic license(?: version| v)? ?2(?: 0)?"),
@@ -65,7 +65,7 @@ LICENSES = [
     ("zlib", "zlib", r"zlib(?: libpng)?"),
     ("libpng", "libpng", r"libpng"),
     ("unlicense", "unlicense", r"unlicense"),
-    ("wtfpl", "wtfpl", r"wtfpl|do what the fuck you want to public license"),
+    ("wtfpl", "wtfpl|fuck", r"wtfpl|do what the fuck you want to public license"),
     ("python-2", "python", r"python(?: software foundation)? license(?: version| v)? ?2"),
     ("php-3", "php", r"php license(?: version| v)? ?3(?: 0 ?1?)?"),
     ("ruby", "ruby", r"ruby"),
@@ -76,7 +76,7 @@ LICENSES = [
     ("ms-pl", "microsoft", r"microsoft public license"),
     ("ms-rl", "microsoft", r"microsoft reciprocal license"),
     ("eupl-1.1", "eupl", r"eupl(?: version| v)? ?1 1"),
-    ("eupl-1.2", "eupl", r"eupl(?: version| v)? ?1 2|european union public licen[cs]e(?: version| v)? ?1 2"),
+    ("eupl-1.2", "eupl|european", r"eupl(?: version| v)? ?1 2|european union public licen[cs]e(?: version| v)? ?1 2"),
     ("odbl-1", "database", r"open (?:data commons open )?database license(?: version| v)?(?: ?1(?: 0)?)?"),
     ("cc0", "cc0", r"cc0(?: 1 0)?"),
     ("cc-by", "cc", r"cc by(?: \d 0)?"),
@@ -118,14 +118,18 @@ class Rule:
     label: str
     priority: int
     score: float
-    keywords: tuple[bytes, ...]
+    keywords: tuple[tuple[bytes, ...], ...]
     pattern: re.Pattern
 
 
+def any_of(keywords: str) -> tuple[bytes, ...]:
+    return tuple(keywords.encode().split(b"|"))
+
+
 def rules() -> list[Rule]:
     """All rules, highest priority first: every licence name in every phrasing, then the general ones."""
-    made = [Rule(label, p, s, (key.encode(), also.encode()), re.compile(b" (?:" + phrase.format(name).encode() + b")(?= )")) for p, s, also, phrase in PHRASINGS for label, key, name in LICENSES]
-    made += [Rule(label, p, s, (key.encode(),), re.compile(b" (?:" + r.encode() + b")(?= )")) for label, p, s, key, r in GENERAL]
+    made = [Rule(label, p, s, (any_of(key), any_of(also)), re.compile(b" (?:" + phrase.format(name).encode() + b")(?= )")) for p, s, also, phrase in PHRASINGS for label, key, name in LICENSES]
+    made += [Rule(label, p, s, (any_of(key),), re.compile(b" (?:" + r.encode() + b")(?= )")) for label, p, s, key, r in GENERAL]
     return sorted(made, key=lambda r: -r.priority)
 
 
@@ -133,11 +137,11 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 
 
 class Scanner:
-    """Scans one text at a time. A rule runs only on texts that hold all its keywords."""
+    """Scans one text at a time. A rule runs only on texts that hold one of each group of its keywords."""
 
     def __init__(self, phrases: dict[str, str] | None = None):
         self.phrases = {f" {p} ".encode(): label for p, label in (phrases or BASE_PHRASES).items()}
-        self.by_keywords: dict[tuple[bytes, ...], list[Rule]] = {}
+        self.by_keywords: dict[tuple[tuple[bytes, ...], ...], list[Rule]] = {}
         for r in rules():
             self.by_keywords.setdefault(r.keywords, []).append(r)
 
@@ -168,11 +172,11 @@ class Scanner:
 
     def detect(self, low: bytes) -> list[tuple[Rule, int, int]]:
         hits, has = [], {}
-        for keys, some in self.by_keywords.items():
-            for k in keys:
-                if k not in has:
-                    has[k] = k in low
-            if all(has[k] for k in keys):
+        for groups, some in self.by_keywords.items():
+            for g in groups:
+                if g not in has:
+                    has[g] = any(k in low for k in g)
+            if all(has[g] for g in groups):
                 hits += [(r, m.start(), m.end()) for r in some for m in r.pattern.finditer(low)]
         hits.sort(key=lambda h: (-h[0].priority, h[1] - h[2], h[1], h[0].label))
         return suppress(hits)

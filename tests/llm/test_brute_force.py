@@ -3,7 +3,8 @@
 import hashlib
 import random
 import re
-from itertools import combinations
+from itertools import combinations, product
+from re import _parser as parser
 
 import numpy as np
 import pytest
@@ -171,6 +172,47 @@ def test_license_rules():
     assert len(licenses.rules()) > 300
 
 
+def spelled(pattern):
+    """Texts that a pattern of the license tables matches: one for each choice among its alternatives."""
+
+    def of(items):
+        return ["".join(x) for x in product(*map(one, items))]
+
+    def one(item):
+        op, arg = str(item[0]), item[1]
+        if op == "LITERAL":
+            return [chr(arg)]
+        if op == "BRANCH":
+            return [x for branch in arg[1] for x in of(branch)]
+        if op == "SUBPATTERN":
+            return of(arg[3])
+        if op == "MAX_REPEAT":
+            return ["", *of(arg[2])] if arg[0] == 0 else of(arg[2])
+        if op == "IN":
+            return ["1" if str(arg[0][0]) == "CATEGORY" else chr(arg[0][1])]
+        raise ValueError(op)
+
+    return of(parser.parse(pattern))
+
+
+def test_license_keywords_lose_no_detection():
+    scanner = licenses.Scanner()
+    every = licenses.rules()
+    n = 0
+    for _, _, name in licenses.LICENSES:
+        for written in spelled(name):
+            for phrase in ("spdx license identifier {}", "licensed under the {}", "released under the {}", "{} licence", "license is the {}"):
+                low = f" {phrase.format(written)} ".encode()
+                hits = [(r, m.start(), m.end()) for r in every for m in r.pattern.finditer(low)]
+                hits.sort(key=lambda h: (-h[0].priority, h[1] - h[2], h[1], h[0].label))
+                assert hits and scanner.detect(low) == licenses.suppress(hits), low
+                n += 1
+    assert n > 1000
+    assert scanner.scan("Licensed under the Common Development and Distribution License")["labels"] == "cddl-1"
+    assert scanner.scan("released under the zero clause BSD license")["labels"] == "0bsd"
+    assert scanner.scan("licensed under the GNU Library General Public License, version 2")["labels"] == "lgpl-2"
+
+
 def test_suppression_against_brute_force():
     rng = random.Random(1)
     for _ in range(400):
