@@ -60,9 +60,9 @@ def anchors(h: np.ndarray, starts: np.ndarray, window: int = WINDOW, gram: int =
 def segments(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int) -> DataFrame:
     """(ah, sh, id, at, again) per segment: anchor and segment hashes, place packed as start * 64 + windows.
 
-    A segment that came before in the same chunk of texts is marked: it has an earlier equal already, so
-    only its place is of use, and a random anchor spreads such rows evenly. This combines a hot passage before
-    it is shuffled.
+    A segment that came before in the same chunk of texts, at another place, is marked: it has an earlier
+    equal already, so only its place is of use, and a random anchor spreads such rows evenly. This combines a
+    hot passage before it is shuffled. Of equal segments of one id and place, from rows that repeat, one is told.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -82,11 +82,16 @@ def segments(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int
                 with np.errstate(over="ignore"):
                     # an independent hash, from other word hashes
                     sh = mix64(Rolling(mix64(h + np.uint64(0x632BE59BD9B4E019))).span(s, e) + (p - s).astype(np.uint64))
-                first = np.unique(sh, return_index=True)[1]
-                again = np.ones(len(d), bool)
-                again[first] = False
+                at, own = (s - starts[d]) * 64 + n, ids[a:b][d]
+                if len(np.unique(ids[a:b])) < b - a:  # rows of one id are taken by place, so that the first is the earliest
+                    order = np.lexsort((at, own))
+                    ah, sh, at, own, s = ah[order], sh[order], at[order], own[order], s[order]
+                first, which = np.unique(sh, return_index=True, return_inverse=True)[1:]
+                first = first[which]
+                again = (own != own[first]) | (at != at[first])
                 ah[again] = mix64(sh[again] ^ mix64(s[again].astype(np.uint64)))
-                yield pd.DataFrame({"ah": signed(ah), "sh": signed(sh), "id": ids[a:b][d], "at": (s - starts[d]) * 64 + n, "again": again})
+                told = again | (first == np.arange(len(first)))
+                yield pd.DataFrame({"ah": signed(ah), "sh": signed(sh), "id": own, "at": at, "again": again})[told]
 
     src = frugal(docs).select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("id is not null")
     return src.mapInPandas(run, _SEGMENT)

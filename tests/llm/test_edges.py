@@ -202,6 +202,17 @@ def test_substring(docs, clashing):
     assert substring.remove_repeats(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 2])
+def test_substring_of_repeated_rows(spark, parts):
+    """Rows that repeat an id and a text are one place, whether they lie in one chunk or in two partitions."""
+    once, inside, other = (" ".join(f"{x}{i}" for i in range(40)) for x in ("once", "inside", "other"))
+    rows = [(1, once), (2, inside + " " + inside), (3, other + " " + once)]
+    d = spark.createDataFrame(spark.sparkContext.parallelize(rows * 2, parts), "doc_id long, text string")
+    assert d.rdd.getNumPartitions() == parts
+    got = sorted((r.doc_id, r.n_removed, r.kept) for r in substring.remove_repeats(d, batches=1).collect())
+    assert got == sorted([(1, 0, once), (2, 40, inside), (3, 40, other)] * 2)
+
+
 def test_toxicity(docs, clashing, spark):
     labels = spark.createDataFrame([(4, 0), (7, 1), (9, None)], "doc_id long, toxic int")
     for d in (docs, clashing):
