@@ -32,14 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Bindings, in Spark and in SQL.
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents as items."""
+def items(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """documents as items, with whole texts or with the prefixes that the SQL of similarity and digest states."""
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ord"),
-        F.left("text", F.lit(80)).alias("title"),
+        (F.col("text") if whole else F.left("text", F.lit(80))).alias("title"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/a/"), F.col("doc_id").cast("string")).alias("url"),
         F.col("source").alias("origin"),
-        F.left("text", F.lit(200)).alias("raw"),
+        (F.col("text") if whole else F.left("text", F.lit(200))).alias("raw"),
         F.col("n_chars").alias("score"),
         (F.col("doc_id") % 6).cast("int").alias("weight"),
         F.lit("").alias("published"),
@@ -296,7 +296,7 @@ def dup_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def semantic_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy and in order; compared with a sequential model in the tests."""
-    out = similar.semantic_dedup(items(spark, sf_dir))
+    out = similar.semantic_dedup(items(spark, sf_dir, whole=True))
     return out.select("ord", "action", "similarity", "similar_to", "similar_scope")
 
 

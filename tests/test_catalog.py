@@ -45,3 +45,12 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_semantic_dedup_reads_whole_texts(spark, tmp_path):
+    words = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    texts = [words("head", 60) + " " + words("tail", 1500), words("head", 60) + " " + words("rest", 1500), words("lead", 60) + " " + words("tail", 1500)]
+    docs = [(i, t, "en", f"s{i}", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.ord: (r.action, r.similar_to) for r in QUERIES["semantic_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {0: ("keep", None), 1: ("keep", None), 2: ("drop", "https://s0.example.org/a/0")}
