@@ -1,14 +1,14 @@
 """Quality rules at document and host level.
 
 Documents are measured one by one. Rule failures are then summed per host, each host's failure rate is
-shrunk towards all hosts' with a beta prior fitted by moments, and the host's verdict is joined back:
+shrunk towards all hosts' with a beta prior fitted by moments of all hosts, and the host's verdict is joined back:
 on a strict host a document that fails any soft rule goes as well. A document that fails no rule stays
 on every host.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,7 @@ SOFT_RULES: dict[str, str] = {
 BASE_RULE = "n_words < 50 or 100 * n_repeat_words > 50 * n_words"
 #: A host is strict if its shrunk rate of documents that fail any rule exceeds this.
 STRICT_RATE = 0.5
-#: Hosts of fewer documents do not shape the prior.
+#: Hosts of fewer documents do not shape beta_prior(), which the SQL of op4_quality_rules states.
 PRIOR_LEAST = 20
 
 
@@ -92,11 +92,31 @@ def measures(text: Column) -> Column:
     return measured.asNondeterministic()(text)
 
 
+def fitted_prior(hosts: DataFrame) -> tuple[float, float]:
+    """(alpha, beta) of a beta-binomial by moments over all hosts, weighted by their documents: two numbers for the driver.
+
+    The mean is the failure rate of all documents. The spread is what the hosts' rates vary beyond chance, so a
+    host of one document counts for what it tells. The strength is that of two documents at least, also where
+    the spread cannot be told, and that of the whole table at most.
+    """
+    n, failed = F.col("n").cast("double"), F.col("failed").cast("double")
+    row = hosts.agg(F.count(F.lit(1)).alias("k"), F.sum(n).alias("n"), F.sum(failed).alias("failed"), F.sum(n * n).alias("nn"), F.sum(failed * failed / n).alias("ff")).first()
+    if not row["n"]:
+        return 1.0, 1.0
+    m = row["failed"] / row["n"]
+    chance, room = row["k"] - 1, row["n"] - row["nn"] / row["n"] - (row["k"] - 1)
+    size = 2.0
+    if 0 < m < 1 and room > 1e-9:
+        between = ((row["ff"] - row["failed"] * m) / (m * (1 - m)) - chance) / room
+        size = 1 / min(max(between, 1 / row["n"]), 1 / 3) - 1
+    return m * size, (1 - m) * size
+
+
 def beta_prior(hosts: DataFrame, least: int = PRIOR_LEAST) -> tuple[float, float]:
     """(alpha, beta) by the method of moments over hosts of at least ``least`` documents: two numbers for the driver.
 
-    With under two such hosts, or rates that hardly vary, the prior is the mean rate with the strength of
-    two documents.
+    With under two such hosts, or rates that hardly vary, the prior is the mean rate (0.5 without such a host)
+    with the strength of two documents.
     """
     rate = F.col("failed") / F.col("n")
     row = hosts.where(F.col("n") >= least).agg(F.avg(rate).alias("m"), F.var_samp(rate).alias("v")).first()
@@ -105,7 +125,7 @@ def beta_prior(hosts: DataFrame, least: int = PRIOR_LEAST) -> tuple[float, float
     return m * size, (1 - m) * size
 
 
-def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", id_col: str = "doc_id", strict_rate: float = STRICT_RATE) -> DataFrame:
+def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", id_col: str = "doc_id", strict_rate: float = STRICT_RATE, prior: Callable[[DataFrame], tuple[float, float]] = fitted_prior) -> DataFrame:
     """docs without text_col, plus the measures, base_failed, host_rate, host_strict and kept.
 
     A null text has no words and fails the base rule. Null hosts form one host. Rows may repeat. A column
@@ -117,20 +137,20 @@ def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", id_
     m = fresh(docs.columns, "_m")
     doc = docs.withColumn(m, measures(F.col(text_col))).select(*rest, f"{m}.*")
     doc = doc.withColumn("base_failed", F.expr(BASE_RULE)).withColumn("soft_failed", F.expr(" or ".join(f"({r})" for r in SOFT_RULES.values())))
-    return with_host_verdict(doc, host_col, id_col, strict_rate)
+    return with_host_verdict(doc, host_col, id_col, strict_rate, prior)
 
 
 def shrunk(alpha: float, beta: float) -> Column:
     return (F.col("failed") + alpha) / (F.col("n") + alpha + beta)
 
 
-def with_host_verdict(doc: DataFrame, host_col: str, id_col: str, strict_rate: float) -> DataFrame:
+def with_host_verdict(doc: DataFrame, host_col: str, id_col: str, strict_rate: float, prior: Callable[[DataFrame], tuple[float, float]]) -> DataFrame:
     doc = cut(doc)
     h = fresh(doc.columns, "_host")
     failed = (F.col("base_failed") | F.col("soft_failed")).cast("bigint")
     rows, facts = group_facts(doc.withColumn(h, F.coalesce(F.col(host_col).cast("string"), F.lit(""))), [h], F.col(id_col), {"n": (F.sum, F.lit(1).cast("bigint")), "failed": (F.sum, failed)})
     hosts = facts.groupBy(h).agg(F.max("n").alias("n"), F.max("failed").alias("failed"))
-    alpha, beta = beta_prior(hosts)
+    alpha, beta = prior(hosts)
     rates = facts.select(h, "_salt", shrunk(alpha, beta).alias("host_rate"))
     out = rows.join(rates, [h, "_salt"]).withColumn("host_strict", F.col("host_rate") > strict_rate)
     return out.withColumn("kept", ~(F.col("base_failed") | (F.col("host_strict") & F.col("soft_failed")))).drop(h, "_salt")
@@ -148,7 +168,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",
     base, soft = F.expr(BASE_RULE), F.expr(" or ".join(f"({r})" for r in SOFT_RULES.values()))
     verdict = docs.select(F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias(h), measures(F.col(text_col)).alias(m)).select(h, f"{m}.*").select(h, base.alias("b"), soft.alias("s"))
     hosts = cut(verdict.groupBy(h).agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("b") | F.col("s")).cast("bigint")).alias("failed")))
-    alpha, beta = beta_prior(hosts)
+    alpha, beta = fitted_prior(hosts)
     strict = hosts.where(shrunk(alpha, beta) > strict_rate).select(h, F.lit(True).alias("_strict_" + m))
     few = strict.count() <= 1_000_000
     doc = docs.withColumn(m, measures(F.col(text_col))).withColumn(h, F.coalesce(F.col(host_col).cast("string"), F.lit("")))

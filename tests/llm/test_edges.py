@@ -123,6 +123,21 @@ def test_strict_host_rejects_only_soft_failures(spark):
     assert kept == {i for i, r in out.items() if r.kept}
 
 
+def test_small_hosts_shape_the_prior(spark):
+    good, soft = A, A + " $$$$$$$$$$"
+    rows = [(i, soft if i in (3, 50) else good, f"one{i}" if i < 40 else f"four{i % 10}") for i in range(80)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = quality.judge(d).collect()
+    assert sum(r.soft_failed for r in out) == 2 and all(r.kept and not r.host_strict for r in out)
+    assert quality.keep_good(d).count() == 80
+    rng = np.random.default_rng(3)
+    n = rng.integers(1, 20, 4000)
+    hosts = spark.createDataFrame([(int(a), int(b)) for a, b in zip(n, rng.binomial(n, rng.beta(2, 6, 4000)), strict=True)], "n long, failed long")
+    alpha, beta = quality.fitted_prior(hosts)
+    assert abs(alpha - 2) < 0.4 and abs(beta - 6) < 1.2
+    assert quality.fitted_prior(hosts.limit(0)) == (1.0, 1.0)
+
+
 def test_near_dedup(docs, clashing):
     for d in (docs, clashing):
         out = near_dedup.near_classes(d).collect()
