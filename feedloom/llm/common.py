@@ -6,10 +6,13 @@ Words are maximal runs of characters outside ASCII white space, which is what
 
 from __future__ import annotations
 
+import ctypes
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -31,13 +34,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one set here if unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a folder already set
+    by setCheckpointDir() serves, or, in one process only, a temporary folder set here; a cluster must name one."""
     sc = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None)
+    held = sc._jsc.sc().getCheckpointDir()
+    if at is None and held.isDefined():
+        return held.get().rstrip("/")
     if at is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = os.path.join(tempfile.gettempdir(), "feedloom-shared")
-        spark.conf.set("spark.checkpoint.dir", at)
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+    if held.isEmpty():
         sc.setCheckpointDir(at)
     return at.rstrip("/")
 
@@ -57,6 +65,38 @@ def frugal(df: DataFrame) -> DataFrame:
     return df
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Holds settings of the session for the jobs in here and puts the old ones back."""
+    was = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in was.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+#: Shuffle files of a job go at its end, not when the driver happens to collect garbage. For steps whose results are
+#: written or checkpointed: they can be read again whatever executor is lost.
+SHORT_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+def give_back() -> None:
+    """Returns the memory that a Python worker has freed: workers live on for later tasks of other operators."""
+    try:
+        import pyarrow
+
+        pyarrow.default_memory_pool().release_unused()
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, ImportError, OSError):  # another allocator
+        pass
+
+
 class Scratch:
     """Parquet tables in the shared folder, for one run of an operator."""
 
@@ -69,9 +109,9 @@ class Scratch:
         df.write.parquet(path := f"{self.root}/{self.n}")
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self) -> None:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
+    def drop(self, n: int | None = None) -> None:
+        """Deletes table n (from 1), or all."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root if n is None else f"{self.root}/{n}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -118,7 +158,7 @@ def chunks(texts: list, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
 class WordTable(dict):
     """Numbers words as they come and keeps a 64-bit hash of each; forgets all when full."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
         self.known, self.size, self.pending = np.zeros(1024, np.uint64), 0, []
@@ -143,7 +183,7 @@ class WordTable(dict):
         """Call between chunks: numbers stay valid within a chunk."""
         if len(self) > self.most:
             self.clear()
-            self.size, self.pending = 0, []
+            self.known, self.size, self.pending = np.zeros(1024, np.uint64), 0, []
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """(word numbers of all texts in a row, start of each text and the end of the last)."""

@@ -1,9 +1,10 @@
 """Exact dedup by two-pass Bloom filtering, with DataFrame functions alone.
 
-Pass 1 inserts a hash of every normalised text into a bit table that remembers which cells were hit at
-least twice. Pass 2 tests each row against it: only rows whose cells were all hit twice may be repeated,
-so only those shuffle; every other row passes straight through. False positives cost a shuffle of the
-row and never change the result.
+Pass 1 reduces every normalised text to a 64-bit hash, combined in each task before it is shuffled, and inserts
+the hashes met twice or more into a Bloom filter. Pass 2 tests each row against the filter: only rows that it
+holds may be repeated, so only those shuffle; every other row passes straight through. The filter is as
+large as the repeated texts are many, whatever the number of unique ones. False positives cost a shuffle of the
+row and never change the result, which rests on SHA-256.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 
 from .common import cut, fresh, group_facts
 
-#: Bits a row in the filter, and its largest size. 2**28 bits are 32 MB when broadcast, whatever the input.
-BITS_PER_ROW, MAX_BITS, HASHES = 16, 1 << 28, 2
+#: Bits per repeated hash, and the filter's largest size. 2**30 bits are 128 MB when broadcast and hold 67 million
+#: repeated hashes at full strength (1.4 % of unique rows shuffle); beyond, more unique rows shuffle, and no more.
+BITS_PER_HASH, MAX_BITS, HASHES = 16, 1 << 30, 2
 _WORD = 32_768  # bits of one bitmap row
 
 
@@ -24,11 +26,10 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+", "")
 
 
-def repeated_cells(keys: DataFrame, key: str, bits: int) -> DataFrame:
-    """Pass 1: the bitmap (bucket, map) of the cells that two or more rows hit. Cells are pre-aggregated in each task."""
-    cells = keys.select(F.explode(F.array(*_cells(F.col(key), bits))).alias("cell"))
-    twice = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return twice.groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("map"))
+def repeated_hashes(keys: DataFrame, hash_col: str) -> DataFrame:
+    """Pass 1: the hashes that two or more rows have, as one column of that name."""
+    n = fresh([hash_col], "_n")
+    return cut(keys.groupBy(hash_col).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).select(hash_col))
 
 
 def _cells(key: Column, bits: int) -> list[Column]:
@@ -41,22 +42,20 @@ def _hit(cell: Column, map_: Column) -> Column:
     return F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
 
 
-def maybe_repeated(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """Adds ``_maybe``: false only for rows whose key is certainly unique.
+def maybe_repeated(df: DataFrame, hash_col: str, twice: DataFrame, flag: str, max_bits: int = MAX_BITS) -> DataFrame:
+    """Pass 2: adds ``flag``, false only for rows whose hash is certainly not in ``twice`` (a checkpointed column).
 
-    The filter holds BITS_PER_ROW bits a row up to MAX_BITS, so its broadcast has a fixed bound. A larger
-    input fills it further and more rows shuffle, at worst all of them; the result is the same.
+    Other columns of df stay as they are, whatever their names. A filter of max_bits is broadcast at most.
     """
-    bits = max(_WORD, min(MAX_BITS, 1 << math.ceil(math.log2(max(1, rows) * BITS_PER_ROW))))
-    maps = repeated_cells(df.select(key), key, bits)
-    for i, cell in enumerate(_cells(F.col(key), bits)):
-        hold = F.broadcast(maps.select(F.col("bucket").alias(f"_b{i}"), F.col("map").alias(f"_m{i}")))
-        df = df.withColumn(f"_c{i}", cell)
-        df = df.join(hold, F.bitmap_bucket_number(F.col(f"_c{i}")) == F.col(f"_b{i}"), "left")
-    hits = [_hit(F.col(f"_c{i}"), F.col(f"_m{i}")) for i in range(HASHES)]
-    for h in hits[1:]:
-        hits[0] = hits[0] & h
-    return df.withColumn("_maybe", hits[0]).drop(*(f"_{x}{i}" for x in "bcm" for i in range(HASHES)))
+    bits = max(_WORD, min(max_bits, 1 << math.ceil(math.log2(max(1, twice.count()) * BITS_PER_HASH))))
+    cells = twice.select(F.explode(F.array(*_cells(F.col(hash_col), bits))).alias("cell"))
+    maps = cells.groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("map"))
+    names, hits = df.columns, F.lit(True)
+    for i, cell in enumerate(_cells(F.col(hash_col), bits)):
+        c, b, m = (fresh(df.columns, f"_{x}{i}") for x in "cbm")
+        df = df.withColumn(c, cell).join(F.broadcast(maps.select(F.col("bucket").alias(b), F.col("map").alias(m))), F.bitmap_bucket_number(F.col(c)) == F.col(b), "left")
+        hits = hits & _hit(F.col(c), F.col(m))
+    return df.select(*(n for n in names if n.lower() != flag.lower()), hits.alias(flag))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 64) -> DataFrame:
@@ -67,17 +66,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ranks last. Rows that repeat both id and text share one verdict. An empty table gives no rows; other
     columns, whatever their names, are not read.
     """
-    digests = cut(
-        docs.select(
-            F.col(id_col).alias("_id"),
-            F.length(F.coalesce(text_col, F.lit(""))).alias("_chars"),
-            F.unhex(F.sha2(normalised(F.col(text_col)), 256)).alias("_sha"),
-        )
-    )
-    tested = maybe_repeated(digests, "_sha", digests.count())
+    sha = F.unhex(F.sha2(normalised(F.col(text_col)), 256))
+    digests = cut(docs.select(F.col(id_col).alias("_id"), F.length(F.coalesce(text_col, F.lit(""))).alias("_chars"), sha.alias("_sha")).withColumn("_h", F.xxhash64("_sha")))
+    tested = maybe_repeated(digests, "_h", repeated_hashes(digests, "_h"), "_maybe")
     alone = tested.where("not _maybe").select("_id", F.col("_id").alias("_keep"), F.lit(1).cast("bigint").alias("_size"), "_sha")
-    best = F.struct("_chars", F.bitwise_not(F.col("_id").cast("bigint")).alias("_rank"), "_id")
-    rows, facts = group_facts(tested.where("_maybe").select("_id", "_chars", "_sha"), ["_sha"], F.col("_id"), {"_best": (F.max, best), "_size": (F.sum, F.lit(1).cast("bigint"))}, salts)
+    rows, facts = group_facts(tested.where("_maybe").select("_id", "_chars", "_sha"), ["_sha"], F.col("_id"), {"_best": (F.max, _rank()), "_size": (F.sum, F.lit(1).cast("bigint"))}, salts)
     grouped = rows.join(facts, ["_sha", "_salt"]).select("_id", F.col("_best._id").alias("_keep"), "_size", "_sha")
     return alone.unionByName(grouped).select(
         F.col("_id").alias(id_col),
@@ -88,23 +81,29 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def _rank() -> Column:
+    return F.struct("_chars", F.bitwise_not(F.col("_id").cast("bigint")).alias("_rank"), "_id")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 64) -> DataFrame:
     """The rows of docs that stay, all columns as they are: one row for each distinct normalised text.
 
-    Follows exact_groups; of rows that repeat both id and text one stays. Only possibly repeated rows
-    shuffle, by (text digest, id), so that no group of copies meets in one task.
+    Follows exact_groups; of rows that repeat both id and text one stays. Nulls and empty texts count as one text,
+    an empty table gives no rows, and columns may have any names. Only possibly repeated rows shuffle, by (text
+    digest, id), so that no group of copies meets in one task.
     """
-    sha, chars = fresh(docs.columns, "_sha"), fresh(docs.columns, "_chars")
-    keyed = docs.withColumn(sha, F.unhex(F.sha2(normalised(F.col(text_col)), 256))).withColumn(chars, F.length(F.coalesce(text_col, F.lit(""))))
-    digests = cut(keyed.select(F.col(id_col).alias("_id"), F.col(chars).alias("_chars"), F.col(sha).alias("_key")))
-    rows = digests.count()
-    tested = maybe_repeated(keyed.withColumnRenamed(sha, "_key"), "_key", rows)
-    best = F.struct("_chars", F.bitwise_not(F.col("_id").cast("bigint")).alias("_rank"), "_id")
-    _, facts = group_facts(maybe_repeated(digests, "_key", rows).where("_maybe"), ["_key"], F.col("_id"), {"_best": (F.max, best)}, salts)
-    stay = facts.select("_key", F.col("_best._id").alias("_keep")).distinct()
-    maybe = tested.where("_maybe").withColumnRenamed("_key", sha)
-    kept = maybe.join(stay, (maybe[sha] == stay["_key"]) & maybe[id_col].eqNullSafe(stay["_keep"]), "left_semi").dropDuplicates([sha, id_col])
-    return tested.where("not _maybe").select(*docs.columns).unionByName(kept.select(*docs.columns))
-
-
-__all__ = ["exact_dedup", "exact_groups", "maybe_repeated", "normalised"]
+    sha, h, flag = (fresh(docs.columns, x) for x in ("_sha", "_h", "_maybe"))
+    plain = normalised(F.col(text_col))
+    digest = F.unhex(F.sha2(plain, 256))
+    digests = cut(docs.select(F.col(id_col).alias("_id"), F.length(F.coalesce(text_col, F.lit(""))).alias("_chars"), digest.alias("_sha"), F.xxhash64(plain).alias("_h")))
+    twice = repeated_hashes(digests, "_h")
+    _, facts = group_facts(maybe_repeated(digests, "_h", twice, "_maybe").where("_maybe"), ["_sha"], F.col("_id"), {"_best": (F.max, _rank())}, salts)
+    stay = facts.select(F.col("_sha").alias(sha), F.col("_best._id").alias(h)).distinct()
+    # unique rows need the short hash alone
+    tested = maybe_repeated(docs.withColumn(h, F.xxhash64(plain)), h, twice.withColumnRenamed("_h", h), flag)
+    maybe = tested.where(flag).select(*docs.columns, digest.alias(sha))
+    kept = maybe.join(stay, (maybe[sha] == stay[sha]) & maybe[id_col].eqNullSafe(stay[h]), "left_semi").dropDuplicates([sha, id_col])
+    return tested.where(~F.col(flag)).select(*docs.columns).unionByName(kept.select(*docs.columns))
+
+
+__all__ = ["exact_dedup", "exact_groups", "maybe_repeated", "normalised", "repeated_hashes"]

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, CHUNK_CHARS, WordTable, chunks, cut, fresh, frugal, group_facts
+from .common import ASCII_SPACE, CHUNK_CHARS, WordTable, chunks, cut, fresh, frugal, give_back, group_facts
 
 _SYMBOLS = "#*$%&|<>"
 MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
@@ -88,6 +88,8 @@ def measures(text: Column) -> Column:
         table = WordTable()
         for s in batches:
             yield pd.DataFrame(measure([x if isinstance(x, str) else None for x in s], table))
+        table.clear()
+        give_back()
 
     return measured.asNondeterministic()(text)
 
@@ -146,35 +148,36 @@ def shrunk(alpha: float, beta: float) -> Column:
 
 def with_host_verdict(doc: DataFrame, host_col: str, id_col: str, strict_rate: float, prior: Callable[[DataFrame], tuple[float, float]]) -> DataFrame:
     doc = cut(doc)
-    h = fresh(doc.columns, "_host")
+    h, salt = fresh(doc.columns, "_host"), fresh(doc.columns, "_salt")
     failed = (F.col("base_failed") | F.col("soft_failed")).cast("bigint")
-    rows, facts = group_facts(doc.withColumn(h, F.coalesce(F.col(host_col).cast("string"), F.lit(""))), [h], F.col(id_col), {"n": (F.sum, F.lit(1).cast("bigint")), "failed": (F.sum, failed)})
+    rows, facts = group_facts(doc.withColumn(h, F.coalesce(F.col(host_col).cast("string"), F.lit(""))), [h], F.col(id_col), {"n": (F.sum, F.lit(1).cast("bigint")), "failed": (F.sum, failed)}, salt=salt)
     hosts = facts.groupBy(h).agg(F.max("n").alias("n"), F.max("failed").alias("failed"))
     alpha, beta = prior(hosts)
-    rates = facts.select(h, "_salt", shrunk(alpha, beta).alias("host_rate"))
-    out = rows.join(rates, [h, "_salt"]).withColumn("host_strict", F.col("host_rate") > strict_rate)
-    return out.withColumn("kept", ~(F.col("base_failed") | (F.col("host_strict") & F.col("soft_failed")))).drop(h, "_salt")
+    rates = facts.select(h, salt, shrunk(alpha, beta).alias("host_rate"))
+    out = rows.join(rates, [h, salt]).withColumn("host_strict", F.col("host_rate") > strict_rate)
+    return out.withColumn("kept", ~(F.col("base_failed") | (F.col("host_strict") & F.col("soft_failed")))).drop(h, salt)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source", id_col: str = "doc_id", strict_rate: float = STRICT_RATE) -> DataFrame:
     """The rows of docs that judge() keeps, all columns as they are.
 
-    The texts are measured and passed on in one scan; only the few hosts' sums are shuffled, and their
-    verdicts, one row per host, come back by a join.
+    Null and empty texts fail the base rule and go. Null hosts form one host. Rows may repeat and are judged
+    alike; an empty table gives no rows. The texts are measured twice, for the hosts' sums and for the rows that
+    stay, so that no text is shuffled or written; the hosts' verdicts come back by a join.
     """
     docs = frugal(docs)
     names = docs.columns
-    m, h = fresh(names, "_m"), fresh(names, "_host")
+    m, h, is_strict, is_soft = (fresh(names, x) for x in ("_m", "_host", "_strict", "_soft"))
     base, soft = F.expr(BASE_RULE), F.expr(" or ".join(f"({r})" for r in SOFT_RULES.values()))
     verdict = docs.select(F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias(h), measures(F.col(text_col)).alias(m)).select(h, f"{m}.*").select(h, base.alias("b"), soft.alias("s"))
     hosts = cut(verdict.groupBy(h).agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("b") | F.col("s")).cast("bigint")).alias("failed")))
     alpha, beta = fitted_prior(hosts)
-    strict = hosts.where(shrunk(alpha, beta) > strict_rate).select(h, F.lit(True).alias("_strict_" + m))
+    strict = hosts.where(shrunk(alpha, beta) > strict_rate).select(h, F.lit(True).alias(is_strict))
     few = strict.count() <= 1_000_000
     doc = docs.withColumn(m, measures(F.col(text_col))).withColumn(h, F.coalesce(F.col(host_col).cast("string"), F.lit("")))
-    doc = doc.withColumn("_soft_" + m, F.expr(" or ".join(f"({_on(r, m)})" for r in SOFT_RULES.values()))).where(~F.expr(_on(BASE_RULE, m)))
+    doc = doc.withColumn(is_soft, F.expr(" or ".join(f"({_on(r, m)})" for r in SOFT_RULES.values()))).where(~F.expr(_on(BASE_RULE, m)))
     doc = doc.join(F.broadcast(strict) if few else strict, h, "left")
-    return doc.where(~(F.col("_soft_" + m) & F.coalesce("_strict_" + m, F.lit(False)))).select(*names)
+    return doc.where(~(F.col(is_soft) & F.coalesce(is_strict, F.lit(False)))).select(*names)
 
 
 def _on(rule: str, struct: str) -> str:
