@@ -46,7 +46,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return substring.remove_repeats(docs, batches=3, max_runs=1).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,21 +126,38 @@ def test_substring(spark, seed, batches):
 
 
 def test_index_compacts_and_holds_each_segment_once(spark):
-    texts = corpus(8, 90)
+    texts = corpus(8, 120)
     docs = frame(spark, texts)
     every = docs.select(F.col("doc_id").alias("id"), "text")
     idx, scratch = substring.FingerprintIndex(spark, max_runs=1, buckets=4), Scratch(spark)
-    for a in range(0, 90, 30):
-        idx.add(docs.where(f"doc_id between {a} and {a + 29}"), every.where(f"id < {a + 30}"), scratch, after=a - 1)
-        assert len(idx.runs) <= 2
+    held = []
+    for a in range(0, 120, 30):
+        idx.add(docs.where(f"doc_id between {a} and {a + 29}"), every.where(f"id < {a + 30}"), scratch)
+        held.append(len(idx.runs))
+    assert held == [1, 2, 2, 2]  # two runs became one before the third batch and the fourth
     idx.compact()
     (run,) = idx.history()
     assert run.count() == run.select("ah", "sh").distinct().count() > 0
-    assert spark.table(idx.runs[0]).where("not first").count() == 0
+    assert spark.table(idx._name(idx.runs[0])).where("known").count() == 0
+    with pytest.raises(ValueError):
+        idx.add(docs.where("doc_id = 5"), every, scratch)
     idx.drop()
     scratch.drop()
 
 
+def test_index_that_stays_takes_later_batches(spark, tmp_path):
+    texts, n = corpus(4), 100
+    docs = frame(spark, texts)
+    root = f"{tmp_path}/index"
+    a = substring.remove_repeats(docs.where(f"doc_id < {n}"), batches=2, root=root).collect()
+    b = substring.remove_repeats(docs.where(f"doc_id >= {n}"), batches=1, root=root, earlier=docs.where(f"doc_id < {n}"), max_runs=1).collect()
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in a + b}
+    assert [got[i] for i in range(len(texts))] == removed(texts)
+    again = substring.FingerprintIndex(spark, root, window=5)
+    assert (again.window, again.high, len(again.runs)) == (20, len(texts) - 1, 2)  # compacted before the last batch
+    again.drop()
+
+
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
 
