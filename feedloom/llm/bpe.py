@@ -2,9 +2,9 @@
 
 Pass 1 counts all pre-tokens of the corpus. The most frequent ones and their ids are compiled into a
 minimal acyclic transducer: an automaton over bytes in which equal suffixes share states and whose
-outputs, summed along a path, give the word's number and so its ids. The compiled table is broadcast
-(its size is fixed by ``lexicon_size``), memory-mapped by each worker, and words that it lacks are merged
-exactly. The result does not depend on the lexicon.
+outputs, summed along a path, give the word's number and so its ids. The compiled table is a file of a fixed
+bound that Spark ships to each executor; all workers of a node map the one file read-only and so share its
+pages. Words that it lacks are merged exactly. The result does not depend on the lexicon.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ import json
 import mmap
 import re
 import struct
-import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -23,12 +22,13 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, frugal
+from .common import SHORT_SHUFFLES, cut, fresh, frugal, give_back, settings, shared_dir
 
-#: Words in the lexicon and the longest of them in bytes: together they bound the broadcast (under 8 MB).
+#: Words in the lexicon and the longest of them in bytes: together they bound the file (under 8 MB).
 LEXICON_SIZE, LEXICON_WORD = 50_000, 40
 
 _NEVER = 1 << 62
@@ -58,14 +58,13 @@ class Vocabulary:
             spec = json.load(f)
         letters, model = byte_letters(), spec["model"]
         raw = lambda s: bytes(letters[c] for c in s)
-        self.ids = {raw(k): v for k, v in model["vocab"].items()}
+        ids = {raw(k): v for k, v in model["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.rank = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
         #: from a pair of ids to its rank and the id of the joined piece, packed
-        self.joined = {self.ids[a] << 20 | self.ids[b]: r << 20 | self.ids[a + b] for (a, b), r in self.rank.items()}
-        self.byte_ids = [self.ids[bytes([b])] for b in range(256)]
-        self.bytes = {v: k for k, v in self.ids.items()} | {v: k.encode() for k, v in self.special.items()}
+        self.joined = {ids[x] << 20 | ids[y]: r << 20 | ids[x + y] for r, (x, y) in enumerate((raw(a), raw(b)) for a, b in pairs)}
+        self.byte_ids = [ids[bytes([b])] for b in range(256)]
+        self.bytes = {v: k for k, v in ids.items()} | {v: k.encode() for k, v in self.special.items()}
 
     def merge(self, word: bytes) -> list[int]:
         """Applies the merges by rank, then from the left."""
@@ -88,25 +87,25 @@ class Vocabulary:
 
     def _merge_long(self, word: bytes) -> list[int]:
         """The same with a heap: n log n in the length of the word."""
-        n = len(word)
-        part: list[bytes | None] = [word[i : i + 1] for i in range(n)]
+        n, get = len(word), self.joined.get
+        part = list(map(self.byte_ids.__getitem__, word))  # -1: joined to the piece on its left
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = [(r, i, part[i], part[i + 1]) for i in range(n - 1) if (r := self.rank.get((part[i], part[i + 1]))) is not None]
+        heap = [(r, i, part[i], part[i + 1]) for i in range(n - 1) if (r := get(part[i] << 20 | part[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
-            j = right[i] if part[i] is not None else n
+            r, i, a, b = heapq.heappop(heap)
+            j = right[i] if part[i] >= 0 else n
             if j >= n or part[i] != a or part[j] != b:
                 continue
-            part[i], part[j] = a + b, None
+            part[i], part[j] = r & 0xFFFFF, -1
             right[i] = k = right[j]
             if k < n:
                 left[k] = i
-                if (r := self.rank.get((part[i], part[k]))) is not None:
+                if (r := get(part[i] << 20 | part[k])) is not None:
                     heapq.heappush(heap, (r, i, part[i], part[k]))
-            if (h := left[i]) >= 0 and (r := self.rank.get((part[h], part[i]))) is not None:
+            if (h := left[i]) >= 0 and (r := get(part[h] << 20 | part[i])) is not None:
                 heapq.heappush(heap, (r, h, part[h], part[i]))
-        return [self.ids[p] for p in part if p is not None]
+        return [p for p in part if p >= 0]
 
 
 class Transducer:
@@ -186,11 +185,20 @@ class Transducer:
         return list(self.ids[self.offsets[number] : self.offsets[number + 1]])
 
 
-def mapped(data: bytes) -> mmap.mmap:
-    """A read-only map of data over a nameless file, so that nothing is left behind."""
-    with tempfile.TemporaryFile() as f:
-        f.write(data)
-        f.flush()
+def ship(spark: SparkSession, lexicon: bytes) -> str:
+    """Writes the lexicon to the shared folder and has Spark bring the file to every executor; its name there."""
+    name = f"feedloom-{uuid.uuid4().hex}.lexicon"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(lexicon))
+    out.close()
+    spark.sparkContext.addFile(path.toString())
+    return name
+
+
+def mapped(path: str) -> mmap.mmap:
+    """A read-only map of the file, whose pages all processes of a node share."""
+    with open(path, "rb") as f:
         return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
 
 
@@ -217,12 +225,13 @@ class Splitter:
 
 
 class Codec(dict):
-    """Encodes and decodes whole texts. As a dict it holds the packed ids of the words met last."""
+    """Encodes and decodes whole texts. As a dict it holds the packed ids of ``most`` words met last, each of 64
+    bytes at most: about 20 MB."""
 
-    def __init__(self, path: str, lexicon: bytes | None = None, most: int = 600_000):
+    def __init__(self, path: str, lexicon: mmap.mmap | bytes | None = None, most: int = 100_000):
         super().__init__()
         self.vocabulary, self.most = vocabulary(path), most
-        self.lexicon = Transducer(mapped(lexicon)) if lexicon else None
+        self.lexicon = Transducer(lexicon) if lexicon else None
         self.split = Splitter(self.vocabulary.special)
 
     def __missing__(self, word: str) -> bytes:
@@ -254,8 +263,9 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def count_words(docs: DataFrame, path: str, text_col: str = "text", longest: int = LEXICON_WORD, most: int = 400_000) -> DataFrame:
-    """(word binary, n): counts of all pre-tokens up to ``longest`` bytes. A task holds ``most`` words at once at most."""
+def count_words(docs: DataFrame, path: str, text_col: str = "text", longest: int = LEXICON_WORD, most: int = 150_000) -> DataFrame:
+    """(word binary, n): counts of all pre-tokens up to ``longest`` bytes; a null text has none. A task holds about
+    ``most`` words at once, besides those of one text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         split, seen, opened = Splitter(vocabulary(path).special), Counter(), Counter()
@@ -281,20 +291,30 @@ def count_words(docs: DataFrame, path: str, text_col: str = "text", longest: int
                 if len(seen) + len(opened) >= most:
                     yield out()
         yield out()
+        give_back()
 
     part = frugal(docs).select(text_col).mapInPandas(run, "word binary, n bigint")
     return part.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", size: int = LEXICON_SIZE) -> bytes:
-    """The transducer of the most frequent words, at most ``size``: those as frequent as some least count.
+    """The transducer of the ``size`` most frequent words that occur twice; null texts and an empty table have none.
 
-    Only these words and the histogram of counts, one row per distinct count, leave the executors.
+    Only these words and a histogram of at most 64 rows leave the executors.
     """
-    words = cut(count_words(docs, path, text_col).where("n > 1"))
-    at = words.groupBy("n").agg(F.count(F.lit(1)).alias("m")).select("n", F.sum("m").over(Window.orderBy(F.desc("n"))).alias("sum"))
-    least = at.where(F.col("sum") <= size).agg(F.min("n")).first()[0]
-    top = words.where(F.col("n") >= least).collect() if least else []
+    with settings(docs.sparkSession, SHORT_SHUFFLES):
+        words = cut(count_words(docs, path, text_col).where("n > 1"))
+        # words per power of two of their counts first, so that the histogram has a fixed number of rows
+        power = F.floor(F.log2("n")).cast("int")
+        coarse = {r["p"]: r["m"] for r in words.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("m")).collect()}
+        total, edge = 0, 64
+        while edge > 0 and total + coarse.get(edge - 1, 0) <= size:
+            edge -= 1
+            total += coarse.get(edge, 0)
+        # then the most frequent words of the power that does not fit whole
+        top = words.where(power >= edge).collect() if total else []
+        if edge and total < size:
+            top += words.where(power == edge - 1).orderBy(F.desc("n"), "word").limit(size - total).collect()
     v = vocabulary(path)
     return Transducer.compile({bytes(r["word"]): v.merge(bytes(r["word"])) for r in top})
 
@@ -302,12 +322,12 @@ def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", size: int
 _HELD: dict[tuple[str, str], Codec] = {}
 
 
-def worker_codec(path: str, key: str, shared) -> Codec:
+def worker_codec(path: str, name: str) -> Codec:
     """The codec that a worker keeps from task to task of one run."""
-    if (path, key) not in _HELD:
+    if (path, name) not in _HELD:
         _HELD.clear()
-        _HELD[path, key] = Codec(path, shared.value)
-    return _HELD[path, key]
+        _HELD[path, name] = Codec(path, mapped(SparkFiles.get(name)))
+    return _HELD[path, name]
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", lexicon: bytes | None = None, decoded: bool = False, ids_col: str = "ids", text_out: str = "decoded") -> DataFrame:
@@ -318,14 +338,15 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", lexicon: bytes |
     """
     made = [ids_col, text_out] if decoded else [ids_col]
     rest = [c for c in docs.columns if c != text_col and c.lower() not in [m.lower() for m in made]]
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon if lexicon is not None else build_lexicon(docs, path, text_col))
-    key = uuid.uuid4().hex
+    name = ship(docs.sparkSession, lexicon if lexicon is not None else build_lexicon(docs, path, text_col))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = worker_codec(path, key, shared)
+        codec = worker_codec(path, name)
         for s in batches:
             ids = [codec.encode(t) for t in s]
             yield pd.DataFrame({ids_col: ids} | ({text_out: [codec.decode(x) for x in ids]} if decoded else {}))
+            del ids
+        give_back()
 
     udf = F.pandas_udf(run, ", ".join([f"`{ids_col}` binary"] + [f"`{text_out}` string"] * decoded)).asNondeterministic()
     m = fresh(docs.columns, "_bpe")

@@ -1,8 +1,9 @@
 """Near-duplicate classes by improved consistent weighted sampling over TF-IDF shingles.
 
 A document is a weighted set of shingles of five words. A shingle weighs its count times
-1 + the mean of its words' inverse document frequencies, scaled to 0..1, so weights per occurrence lie in
-1..2 at every corpus size. Each of BANDS * ROWS samples picks a shingle with probability proportional to
+1 + the mean of its words' inverse document frequencies over ln(documents), so weights per occurrence lie in
+1..2 at every corpus size. Frequencies of all words of all documents are held in a count-min sketch of a fixed
+size: what collides makes a rare word look a little more frequent, for all documents alike. Each of BANDS * ROWS samples picks a shingle with probability proportional to
 weight (Ioffe 2010); documents that agree on all ROWS samples of a band meet in a bucket. Pairs from buckets
 are verified on whole texts by weighted Jaccard similarity, and verified links form the classes.
 
@@ -23,13 +24,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, WordTable, chunks, cut, frugal, group_facts, mix64, signed, words
+from .common import SHORT_SHUFFLES, Rolling, WordTable, chunks, cut, fresh, frugal, give_back, group_facts, mix64, settings, signed, words
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
-#: Words in more than this share of documents have their own idf; rarer ones weigh as if in this share.
-#: At most (mean distinct words per document) / IDF_SHARE words are that frequent, which bounds the broadcast.
-IDF_SHARE = 1e-3
+#: Cells of each of the two rows of the sketch of document frequencies: 8 MB together, whatever the vocabulary.
+CELLS = 1 << 20
+_CELL_BLOCK = 1 << 12
 _POOL = 1 << 16
 _SMALL = 16
 #: Documents and characters of a block of a large bucket.
@@ -37,14 +38,22 @@ _BLOCK_DOCS, _BLOCK_CHARS = 512, 4_000_000
 _BROADCAST_ROWS = 500_000
 
 
-def word_counts(docs: DataFrame, text_col: str, most: int = 300_000) -> DataFrame:
-    """(word hash, df) over all documents; a task holds about ``most`` words at once."""
+def sketch_cells(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cells of words in the two rows of the sketch, the second row behind the first."""
+    x = mix64(h)
+    return (x % np.uint64(CELLS)).astype(np.int64), ((x >> np.uint64(32)) % np.uint64(CELLS)).astype(np.int64) + CELLS
+
+
+def document_frequencies(docs: DataFrame, text_col: str, most: int = 150_000) -> DataFrame:
+    """(cell, df) over all documents; a task holds about ``most`` words at once, besides those of one text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, table = Counter(), WordTable(most)
 
         def out():
-            df = pd.DataFrame({"w": signed(table.hash_of(np.fromiter(map(table.__getitem__, seen), np.int64, len(seen)))), "df": np.fromiter(seen.values(), np.int64, len(seen))})
+            h = table.hash_of(np.fromiter(map(table.__getitem__, seen), np.int64, len(seen)))
+            n = np.fromiter(seen.values(), np.int64, len(seen))
+            df = pd.DataFrame({"cell": np.concatenate(sketch_cells(h)), "df": np.concatenate([n, n])})
             seen.clear()
             table.room()
             return df
@@ -55,29 +64,40 @@ def word_counts(docs: DataFrame, text_col: str, most: int = 300_000) -> DataFram
                 if len(seen) >= most:
                     yield out()
         yield out()
+        table.clear()
+        give_back()
 
-    return frugal(docs).select(text_col).mapInPandas(run, "w bigint, df bigint").groupBy("w").agg(F.sum("df").alias("df"))
+    return frugal(docs).select(text_col).mapInPandas(run, "cell bigint, df bigint").groupBy("cell").agg(F.sum("df").alias("df"))
 
 
 class Weights:
-    """Scaled idf of words: sorted hashes of the frequent ones, 1 for all others."""
+    """Scaled idf of all words: the greater of two cells of the sketch, 1 for a word that no document holds."""
 
-    def __init__(self, hashes: np.ndarray, idf: np.ndarray):
-        order = np.argsort(hashes)
-        self.hashes, self.idf = hashes[order], idf[order].astype(np.float32)
+    def __init__(self, idf: np.ndarray):
+        self.idf = idf.astype(np.float32)
 
     @classmethod
-    def learn(cls, docs: DataFrame, text_col: str, share: float = IDF_SHARE) -> Weights:
+    def learn(cls, docs: DataFrame, text_col: str) -> Weights:
+        """The sketch reaches the driver as packed blocks of floats, 8 MB at most. Null texts hold no words."""
         n = docs.count()
-        rows = word_counts(docs, text_col).where(F.col("df") > share * n).toPandas()
-        idf = np.log(n / rows["df"].to_numpy(float)) / math.log(1 / share) if len(rows) else np.zeros(0)
-        return cls(rows["w"].to_numpy(np.int64).view(np.uint64), np.clip(idf, 0, 1))
+        scale = 1 / math.log(n) if n > 1 else 0.0
+
+        def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+            idf = np.ones(_CELL_BLOCK, np.float32)
+            if scale:
+                idf[pdf["cell"].to_numpy() % _CELL_BLOCK] = np.log(n / np.clip(pdf["df"].to_numpy(float), 1, n)) * scale
+            return pd.DataFrame({"block": [int(pdf["cell"].iloc[0]) // _CELL_BLOCK], "idf": [idf.tobytes()]})
+
+        cells = document_frequencies(docs, text_col)
+        rows = cells.groupBy(F.floor(F.col("cell") / _CELL_BLOCK)).applyInPandas(pack, "block int, idf binary").collect()
+        idf = np.ones((2 * CELLS // _CELL_BLOCK, _CELL_BLOCK), np.float32)
+        for r in rows:
+            idf[r["block"]] = np.frombuffer(r["idf"], np.float32)
+        return cls(idf.ravel())
 
     def of(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.ones(len(h), np.float32)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, self.idf[at], np.float32(1))
+        a, b = sketch_cells(h)
+        return np.maximum(self.idf[a], self.idf[b])
 
 
 def shingles(texts: list, table: WordTable, weights: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -179,6 +199,8 @@ def signatures(docs: DataFrame, weights: Weights, id_col: str, text_col: str, ba
                     for k, i in enumerate(some):
                         f1[i], f2[i], keys[i] = p1[k], p2[k], signed(key[k])
                 yield pd.DataFrame({"id": ids.iloc[a:b].to_numpy(), "f1": pd.array(f1, "Int64"), "f2": pd.array(f2, "Int64"), "bands": keys})
+        table.clear()
+        give_back()
 
     src = frugal(docs).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     return src.mapInPandas(run, "id bigint, f1 bigint, f2 bigint, bands array<bigint>")
@@ -214,13 +236,16 @@ def verify(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
             h, c, wt, _ = shingles([text], table, w)
             cache[key] = (h, c, wt)
             held += len(h)
-            while held > 2_000_000 and len(cache) > 2:
+            while held > 1_000_000 and len(cache) > 2:
                 held -= len(cache.popitem(last=False)[1][0])
             return h, c, wt
 
         for pdf in batches:
             sims = [similarity(weighed((a, ta), ta), weighed((b, tb), tb)) for a, ta, b, tb in zip(pdf["a"], pdf["ta"], pdf["b"], pdf["tb"], strict=True)]
             yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "sim": sims})
+        table.clear()
+        cache.clear()
+        give_back()
 
     out = frugal(both).select("a", "ta", "b", "tb").mapInPandas(run, "a bigint, b bigint, sim double")
     return out.groupBy("a", "b").agg(F.max("sim").alias("sim"))
@@ -308,6 +333,8 @@ def large_links(open_: DataFrame, texts: DataFrame, weights: Weights, threshold:
                 found = [(sides[0][i], sides[1][j]) for i, j in block_links(x, y, threshold)]
                 links = sorted({(min(p["id"], q["id"]), max(p["id"], q["id"])) for p, q in found if p["label"] != q["label"]})
                 yield pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+        table.clear()
+        give_back()
 
     return frugal(met).mapInPandas(run, "a bigint, b bigint").distinct()
 
@@ -350,6 +377,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     an id count as one document with several texts. A row without an id has class null and is kept. An empty
     table gives no rows. Texts are read whole; other columns are not read.
     """
+    with settings(docs.sparkSession, SHORT_SHUFFLES):
+        return _near_classes(docs, id_col, text_col, threshold)
+
+
+def _near_classes(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
     weights = Weights.learn(docs, text_col)
     sig = cut(signatures(docs, weights, id_col, text_col))
     full = sig.where("f1 is not null")
@@ -368,6 +400,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that near_classes keeps, all columns as they are: one document of each class."""
-    gone = cut(near_classes(docs, id_col, text_col, threshold).where("not kept").select(F.col(id_col).alias("_gone")).distinct())
+    g = fresh(docs.columns, "_gone")
+    gone = cut(near_classes(docs, id_col, text_col, threshold).where("not kept").select(F.col(id_col).alias(g)).distinct())
     hold = gone.count() <= _BROADCAST_ROWS
-    return docs.join(F.broadcast(gone) if hold else gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return docs.join(F.broadcast(gone) if hold else gone, F.col(id_col) == F.col(g), "left_anti")
