@@ -11,27 +11,32 @@ from feedloom.llm.common import Scratch, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that fail the base rules, and those that fail a soft rule on a strict host."""
+    """Drops documents that fail the base rules (null, empty and short texts do), and those that fail a soft rule on
+    a strict host; a null source is a host. Repeated rows share a verdict; an empty table gives no rows."""
     return quality.keep_good(docs)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each text, white space aside."""
+    """Keeps one document of each text, white space aside: the longest, then the least id, a null id last. Null and
+    empty texts are one text; of rows that repeat id and text one stays; an empty table gives no rows."""
     return exact_dedup.exact_dedup(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate class."""
+    """Keeps the least id of each near-duplicate class. Texts without words and rows without an id are classes of
+    their own; rows that repeat an id count as one document; an empty table gives no rows."""
     return near_dedup.near_dedup(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats documents by Poisson counts so that all sources weigh the same, in a random order."""
+    """Repeats documents by Poisson counts so that all sources weigh the same, in a random order. A null source is a
+    source; a null id has one count; rows that repeat an id share theirs; an empty table gives no rows."""
     return mixing.mix(docs)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The columns of documents but the text, with its ids, their number, and whether they decode to the text."""
+    """The columns of documents but the text, with its ids, their number, and whether they decode to the text. A null
+    or empty text has no ids; rows may repeat; long texts are encoded whole; an empty table gives no rows."""
     coded = bpe.encode(docs.withColumn("_text", F.col("text")), public_tokenizers.path("byte_bpe_50k.json"), decoded=True)
     return coded.select(
         *(c for c in docs.columns if c != "text"),
@@ -54,8 +59,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies STAGES to documents; each but the last is written to the shared folder and read again."""
+    """Applies STAGES to documents; each but the last is written to the shared folder and read again. A stage's input
+    is deleted when its output is written; the last one's stays, as the result reads it."""
     docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
-    for _, stage in STAGES[:-1]:
+    for i, (_, stage) in enumerate(STAGES[:-1]):
         docs = scratch.keep(stage(spark, docs, sf_dir))
+        if i:
+            scratch.drop(i)
     return STAGES[-1][1](spark, docs, sf_dir)
