@@ -58,11 +58,15 @@ def known(df: DataFrame, history: DataFrame, key: str) -> DataFrame:
 
 
 def partition(df: DataFrame, history: DataFrame, key: str, *order: str) -> DataFrame:
-    """df plus status: invalid (no key), duplicate (in history or later in the batch) or fresh."""
-    seen = history.select(key).distinct().withColumn("_seen", F.lit(True))
-    w = Window.partitionBy(key).orderBy(*order)
+    """df plus status: invalid (no key), duplicate (in history or later in the batch) or fresh.
+
+    First places are minima, which combine before the shuffle, and come back by a join that Spark can split, so a hot
+    key needs no task of its own. Rows of a key that share its first place are first together.
+    """
+    place = F.struct(*order)
+    seen = history.select(F.col(key).alias("_seen")).distinct()
     valid = df.where(F.coalesce(F.col(key), F.lit("")) != "")
-    judged = valid.join(seen, key, "left").withColumn("_rn", F.row_number().over(w))
-    status = F.when(F.col("_seen") | (F.col("_rn") > 1), "duplicate").otherwise("fresh")
-    judged = judged.withColumn("status", status).select(*df.columns, "status")
+    first = valid.groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_first")).join(seen, F.col("_key") == F.col("_seen"), "left")
+    status = F.when(F.col("_seen").isNotNull() | (place != F.col("_first")), "duplicate").otherwise("fresh")
+    judged = valid.join(first, F.col(key) == F.col("_key")).select(*df.columns, status.alias("status"))
     return judged.unionByName(df.where(F.coalesce(F.col(key), F.lit("")) == "").withColumn("status", F.lit("invalid")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,6 +83,14 @@ def semantic(runs: DataFrame) -> DataFrame:
     )
 
 
+def semantic_details(runs: DataFrame) -> DataFrame:
+    """(date, kind, pos, detail): the rounded history scores and the dropped and suspect items that the runs tell."""
+    score = runs.where(F.coalesce("stats.max_history_score", F.lit(0.0)) != 0).select("date", F.lit("score").alias("kind"), F.lit(0).alias("pos"), F.round("stats.max_history_score", 4).cast("string").alias("detail"))
+    for kind in ("dropped", "suspect"):
+        score = score.unionByName(runs.select("date", F.lit(kind).alias("kind"), F.posexplode(f"stats.{kind}_detail").alias("pos", "detail")))
+    return score
+
+
 def issues(runs: DataFrame) -> DataFrame:
     """(date, kind, detail): warnings, sources without rows, failed runs and failed deliveries."""
     ok = F.coalesce(F.col("status") == "succeeded", F.lit(False))
@@ -100,3 +110,17 @@ def render(runs: DataFrame) -> str:
     lines += ["", "## Issues", ""]
     lines += [f"- {r['date']} {r['kind']}: {r['detail']}" for r in issues(runs).orderBy("date", "kind", "detail").limit(200).collect()] or ["none"]
     return "\n".join(lines)
+
+
+def as_json(runs: DataFrame, details: int = 200) -> str:
+    """The report as JSON: the same frames as render(), and at most ``details`` scores and items of each kind."""
+    rows = lambda df, *order: [json.loads(r[0]) for r in df.orderBy(*order).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).collect()]
+    told = semantic_details(runs)
+    parts = {
+        "summary": rows(summary(runs), "runs")[0],
+        "runs": rows(by_run(runs), "date", "status"),
+        "sources": rows(sources(runs), "source"),
+        "semantic": rows(semantic(runs), "runs_with_data")[0] | {k: rows(told.where(F.col("kind") == k).orderBy("date", "pos").limit(details), "date", "pos") for k in ("score", "dropped", "suspect")},
+        "issues": rows(issues(runs).orderBy("date", "kind", "detail").limit(details), "date", "kind", "detail"),
+    }
+    return json.dumps(parts, ensure_ascii=False, indent=2)

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions.url import store_key
+from feedloom.operators import dedup
+
 DAYS, LIMIT = 30, 400
 
 
@@ -49,3 +52,26 @@ def totals(state: DataFrame) -> DataFrame:
 
 def is_seen(state: DataFrame, url_key: str) -> bool:
     return bool(state.where(F.col("url_key") == url_key).limit(1).count())
+
+
+def commit_new(state: DataFrame, batch: DataFrame, order: str = "ord") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(fresh rows, the next state, one row of counts) of a batch with url_key: what is not known and first in it is
+    recorded, so a caller that has not delivered must not write the state."""
+    judged = dedup.partition(batch, state, "url_key", order)
+    fresh = judged.where("status = 'fresh'").drop("status")
+    tell = judged.agg(*(F.count_if(F.col("status") == s).alias(s) for s in ("fresh", "duplicate", "invalid"))).withColumn("recorded", F.col("fresh"))
+    return fresh, upsert(state, fresh, order), tell
+
+
+def from_history(rows: DataFrame, run_date: Column) -> DataFrame:
+    """A legacy list (url, date, title) as state; every row gets the day of the import, as its own day is not kept."""
+    text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
+    keyed = rows.select(store_key("url").alias("url_key"), "url", text("title")).where("url_key <> ''")
+    first = keyed.groupBy("url_key").agg(F.min_by(F.struct("url", "title"), "url").alias("r"))
+    return first.select("url_key", "r.url", run_date.alias("run_date"), F.lit("").alias("source"), "r.title", F.lit("").alias("raw"), run_date.cast("timestamp").alias("pushed_at"))
+
+
+def merged_history(old: DataFrame, pushed: DataFrame, date: str) -> DataFrame:
+    """The legacy list (url, date, title) after a delivery: pushed urls leave their old places and stand with the date."""
+    now = pushed.select("url", F.lit(date).alias("date"), F.coalesce("title", F.lit("")).alias("title")).dropDuplicates(["url"])
+    return old.select("url", "date", "title").join(now.select("url"), "url", "left_anti").unionByName(now)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
 import xml.etree.ElementTree as ET
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,8 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import schemas
-from feedloom.functions.text import clean_markup, clip, collapse
+from feedloom.functions.text import clean_markup, clip, collapse, looks_like_html
+from feedloom.operators import html
 
+#: What is said of a feed that is a web page (fixed value).
+PAGE_WARNING = " 返回的是网页不是 RSS，feed 地址可能已经失效"
 ATOM = "{http://www.w3.org/2005/Atom}"
 
 
@@ -84,8 +90,11 @@ def embedding_rows(bodies: DataFrame, body: str = "body") -> DataFrame:
 
 def run_logs(spark: SparkSession, path: str) -> DataFrame:
     """Run logs of a folder of JSON files, stats parsed, broken files left out, ordered columns date and file."""
-    raw = spark.read.option("multiLine", True).option("columnNameOfCorruptRecord", "_bad").schema(schemas.RUN_LOG + ", _bad string").json(path)
-    ok = raw.withColumn("file", F.col("_metadata.file_name")).where("_bad is null").drop("_bad")
+    raw = spark.read.text(path, wholetext=True).select(
+        F.from_json("value", schemas.RUN_LOG + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"),
+        F.col("_metadata.file_name").alias("file"),
+    )
+    ok = raw.where("r is not null and r._bad is null").select("r.*", "file").drop("_bad")
     return ok.withColumn("stats", F.coalesce(F.from_json("stats", schemas.RUN_STATS), F.from_json(F.lit("{}"), schemas.RUN_STATS)))
 
 
@@ -94,24 +103,90 @@ def history_mirror(spark: SparkSession, path: str, as_of: Column, days: int) ->
     return rows.where(F.coalesce("date", F.lit("")) >= F.date_format(F.date_sub(as_of, days), "yyyy-MM-dd"))
 
 
-def raw_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(url, html) of a folder of page files; the charset is read from the first 4096 bytes, else UTF-8."""
+def page_text(content: Column, content_type: Column, encoding: Column) -> Column:
+    """The text of bytes as served: unpacked, in the charset of the header, else of the first 4096 bytes, else UTF-8."""
 
     @F.pandas_udf("string")
-    def text(content: pd.Series) -> pd.Series:
-        import re
+    def text(content: pd.Series, kind: pd.Series, encoding: pd.Series) -> pd.Series:
+        return pd.Series([None if b is None else decoded(bytes(b), k or "", e or "") for b, k, e in zip(content, kind, encoding, strict=True)], dtype=object)
+
+    return text(content, F.coalesce(content_type, F.lit("")), F.coalesce(encoding, F.lit("")))
+
+
+def decoded(raw: bytes, content_type: str = "", encoding: str = "") -> str:
+    """See page_text; bytes that are not packed as they say are read as they are."""
+    try:
+        if "gzip" in encoding:
+            raw = zlib.decompress(raw, zlib.MAX_WBITS | 16)
+        elif "deflate" in encoding:
+            raw = zlib.decompress(raw, zlib.MAX_WBITS if raw[:1] and raw[0] & 15 == 8 and not int.from_bytes(raw[:2], "big") % 31 else -zlib.MAX_WBITS)
+    except zlib.error:
+        pass
+    found = re.search(r"charset=([\w-]+)", content_type, re.I) or re.search(r"charset=[\"']?([\w-]+)", raw[:4096].decode("latin-1"), re.I)
+    name = found[1].lower() if found else "utf-8"
+    try:
+        return raw.decode("gb18030" if name in ("gb2312", "gbk") else name, "replace")
+    except LookupError:
+        return raw.decode("utf-8", "replace")
+
+
+def raw_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(url, html) of a folder of page files."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.col("path").alias("url"), page_text(F.col("content"), F.lit(""), F.lit("")).alias("html"))
 
-        def one(b: bytes) -> str:
-            m = re.search(rb"charset=[\"']?([\w-]+)", b[:4096], re.I)
-            name = m[1].decode().lower() if m else "utf-8"
-            try:
-                return b.decode("gb18030" if name.startswith("gb") else name, "replace")
-            except LookupError:
-                return b.decode("utf-8", "replace")
 
-        return content.map(lambda b: one(bytes(b)))
+def feed_report(feeds: DataFrame, items: DataFrame) -> DataFrame:
+    """(origin, raw, warning): items of each feed (origin, body), and a warning where a feed is a web page."""
+    n = items.groupBy("origin").agg(F.count(F.lit(1)).alias("raw"))
+    page = F.max(looks_like_html("body")).alias("_page")
+    return feeds.groupBy("origin").agg(page).join(n, "origin", "left").select("origin", F.coalesce("raw", F.lit(0)).alias("raw"), F.when(F.col("_page"), F.concat("origin", F.lit(PAGE_WARNING))).alias("warning"))
 
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("url"), text("content").alias("html"))
+
+#: Links of an XML page that are shown (fixed value).
+SHOWN = 80
+
+
+def page_records(pages: DataFrame, most: int = 200_000) -> DataFrame:
+    """Records of schemas.PAGE of (url, content_type, body): JSON as a block, XML as a list of links, else the article.
+
+    JSON that does not parse is plain text. A null body is an empty page.
+    """
+    p = pages.select("url", F.coalesce("content_type", F.lit("")).alias("content_type"), F.coalesce("body", F.lit("")).alias("body"))
+    p = p.withColumn("kind", content_kind(F.col("content_type"), F.col("body")))
+    none = lambda *names: [F.lit("").alias(n) for n in names]
+    blank = none("title", "site_name", "description", "author", "published", "canonical")
+
+    @F.pandas_udf("string")
+    def pretty(s: pd.Series) -> pd.Series:
+        def one(x: str) -> str | None:
+            try:
+                return json.dumps(json.loads(x), ensure_ascii=False, indent=2)
+            except ValueError:
+                return None
+
+        return s.map(one)
+
+    block = p.where("kind = 'json'").withColumn("_json", pretty("body"))
+    shown = F.when(F.col("_json").isNull(), F.left("body", F.lit(most))).otherwise(F.concat(F.lit("```json\n"), F.left("_json", F.lit(most)), F.lit("\n```")))
+    as_json = block.select("url", *blank, F.when(F.col("_json").isNull(), "text").otherwise("json").alias("kind"), shown.alias("markdown"), shown.alias("text"), F.length("body").cast("bigint").alias("char_count"))
+    tag = lambda t: F.regexp_extract_all("body", F.lit(rf"(?s)<{t}[^>]*>(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?</{t}>"), F.lit(1))
+    titles, links = tag("title"), tag("link")
+    n = F.least(F.size(titles), F.size(links))
+    line = F.transform(F.slice(F.arrays_zip(titles.alias("t"), links.alias("l")), 1, F.least(n, F.lit(SHOWN))), lambda x: F.concat(F.lit("- ["), collapse(_unescaped(x["t"])), F.lit("]("), F.trim(x["l"]), F.lit(")")))
+    listed = F.left(F.concat_ws("\n", F.concat(F.lit("# RSS/XML："), n.cast("string"), F.lit(" 条")), F.lit(""), line), F.lit(most))
+    as_xml = p.where("kind = 'xml'").select("url", *blank, "kind", listed.alias("markdown"), F.length("body").cast("bigint").alias("char_count"))
+    as_xml = as_xml.withColumn("text", F.col("markdown"))
+    article = html.extract(p.where("kind = 'html'").select("url", "kind", F.col("body").alias("html")), most=most)
+    columns = [f.split()[0] for f in schemas.PAGE.split(", ")]
+    return article.select(*columns).unionByName(as_json.select(*columns)).unionByName(as_xml.select(*columns))
+
+
+def _unescaped(c: Column) -> Column:
+    """The five references that XML defines, the ampersand last."""
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")):
+        c = F.replace(c, F.lit(name), F.lit(char))
+    return c
 
 
 def inbox(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:

@@ -119,7 +119,10 @@ def parse(bodies: DataFrame, body: str = "body", offset_hours: float = 8.0, strf
     keyed = built.withColumn("_key", F.concat(F.lit("url:"), feed_key("url"))).drop("ok")
     read = max_items_prefix(keyed, "_key", ["_feed", "pos"], max_items)
     merged = gap_fill_merge(read, "_key", ["_feed", "pos"], MERGED)
-    return merged.withColumn("ord", F.row_number().over(Window.orderBy("_feed", "pos")) - 1).drop("_key", "_feed", "pos")
+    # places inside each payload, after the stories of the payloads before it: one row per payload meets in a task
+    before = merged.groupBy("_feed").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.sum("_n").over(Window.orderBy("_feed")) - F.col("_n"))
+    placed = merged.withColumn("_rn", F.row_number().over(Window.partitionBy("_feed").orderBy("pos"))).join(before, "_feed")
+    return placed.withColumn("ord", (F.col("_before") + F.col("_rn") - 1).cast("int")).drop("_key", "_feed", "pos", "_rn", "_n", "_before")
 
 
 def counts(bodies: DataFrame, body: str = "body") -> DataFrame:
