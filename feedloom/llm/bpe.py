@@ -26,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SHORT_SHUFFLES, cut, fresh, frugal, give_back, settings, shared_dir
+from .common import SHORT_SHUFFLES, chunks, cut, fresh, frugal, give_back, settings, shared_dir
 
 #: Words in the lexicon and the longest of them in bytes: together they bound the file (under 8 MB).
 LEXICON_SIZE, LEXICON_WORD = 50_000, 40
@@ -50,6 +50,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Vocabulary:
     """A byte-level BPE vocabulary read from a tokenizers file."""
 
@@ -64,12 +68,61 @@ class Vocabulary:
         #: from a pair of ids to its rank and the id of the joined piece, packed
         self.joined = {ids[x] << 20 | ids[y]: r << 20 | ids[x + y] for r, (x, y) in enumerate((raw(a), raw(b)) for a, b in pairs)}
         self.byte_ids = [ids[bytes([b])] for b in range(256)]
+        keys = np.fromiter(self.joined, np.int64, len(self.joined))
+        order = np.argsort(keys)
+        self._keys, self._ranks = keys[order], np.fromiter(self.joined.values(), np.int64, len(keys))[order]
         self.bytes = {v: k for k, v in ids.items()} | {v: k.encode() for k, v in self.special.items()}
 
     def merge(self, word: bytes) -> list[int]:
         """Applies the merges by rank, then from the left."""
         return self._merge_short(word) if len(word) <= 48 else self._merge_long(word)
 
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """The packed ids of each word: all words take their next merge together, the best pair of each, until few
+        words have one left."""
+        long = {i for i, w in enumerate(words) if not 0 < len(w) <= 48}
+        some = [w for i, w in enumerate(words) if i not in long]
+        part = np.array(self.byte_ids, np.int64)[np.frombuffer(b"".join(some), np.uint8)]
+        size = np.fromiter(map(len, some), np.int64, len(some))
+        word = np.repeat(np.arange(len(some)), size)
+
+        def ranked(at: np.ndarray) -> np.ndarray:
+            """Rank and joined id, packed, of the pairs that begin at these places."""
+            out = np.full(len(at), _NEVER)
+            inside = at + 1 < len(part)
+            inside[inside] = word[at[inside]] == word[at[inside] + 1]
+            a = at[inside]
+            key = part[a] << 20 | part[a + 1]
+            i = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+            out[inside] = np.where(self._keys[i] == key, self._ranks[i], _NEVER)
+            return out
+
+        rank = ranked(np.arange(len(part)))
+        left: list[int] = []
+        while len(part):
+            starts = np.flatnonzero(np.diff(word, prepend=-1))
+            best = np.minimum.reduceat(rank, starts)
+            live = np.flatnonzero(best < _NEVER)
+            if len(live) <= len(some) // 20:
+                left = live.tolist()
+                break
+            hit = np.flatnonzero((rank < _NEVER) & (rank == np.repeat(best, np.diff(starts, append=len(part)))))
+            at = hit[np.diff(word[hit], prepend=-1) != 0]  # the leftmost of equals
+            part[at] = rank[at] & 0xFFFFF
+            stay = np.ones(len(part), bool)
+            stay[at + 1] = False
+            part, word, rank = part[stay], word[stay], rank[stay]
+            at -= np.arange(len(at))
+            near = np.concatenate([at, at[at > 0] - 1])
+            rank[near] = ranked(near)
+        ends = np.searchsorted(word, np.arange(1, len(some) + 1)).tolist()
+        raw = part.astype("<u4").tobytes()
+        out = [raw[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
+        for i in left:
+            out[i] = _packed(self._merge_short(some[i]))
+        rest = iter(out)
+        return [_packed(self.merge(w)) if i in long else next(rest) for i, w in enumerate(words)]
+
     def _merge_short(self, word: bytes) -> list[int]:
         """Scans for the least rank each time; only the two neighbours of a merge are looked up again."""
         get = self.joined.get
@@ -111,8 +164,9 @@ class Vocabulary:
 class Transducer:
     """A minimal acyclic transducer from words to id sequences, in one flat buffer.
 
-    Layout: counts, then the state's first arc (with a final mark), the arcs' bytes, targets and outputs,
-    then the id sequences' offsets and ids. The sum of outputs along an accepting path is the word's number.
+    Layout: counts, then the arcs in the order of state and byte (both packed in a key, the state they lead to, their
+    output), the id sequences' offsets and ids, and a mark for each final state. The sum of outputs along an accepting
+    path is the word's number. Many words are walked together, a byte of each at a time.
     """
 
     @staticmethod
@@ -147,42 +201,59 @@ class Transducer:
         paths = []
         for final, arcs in states:
             paths.append(final + sum(paths[t] for _, t in arcs))
-        first, labels, targets, outputs = [], [], [], []
-        for final, arcs in states:
-            first.append(len(labels) << 1 | final)
+        keys, targets, outputs = [], [], []
+        for state, (final, arcs) in enumerate(states):
             before = int(final)
             for b, t in arcs:
-                labels.append(b)
+                keys.append(state << 8 | b)
                 targets.append(t)
                 outputs.append(before)
                 before += paths[t]
-        first.append(len(labels) << 1)
         offsets = np.cumsum([0, *(len(entries[w]) for w in order)])
         ids = [i for w in order for i in entries[w]]
-        body = [np.array(x, np.uint32).tobytes() for x in (first, targets, outputs, offsets, ids)]
-        return struct.pack("<6I", root, len(states), len(labels), len(order), len(ids), max(map(len, order), default=0)) + b"".join(body) + bytes(labels)
+        body = [np.array(x, np.uint32).tobytes() for x in (keys, targets, outputs, offsets, ids)]
+        return struct.pack("<6I", root, len(states), len(keys), len(order), len(ids), max(map(len, order), default=0)) + b"".join(body) + bytes(final for final, _ in states)
 
     def __init__(self, buffer):
-        self.root, n_states, n_arcs, n_words, n_ids, self.longest = struct.unpack_from("<6I", buffer)
+        self.root, self.states, n_arcs, self.words, n_ids, self.longest = struct.unpack_from("<6I", buffer)
         at, views = 24, []
-        for n in (n_states + 1, n_arcs, n_arcs, n_words + 1, n_ids):
-            views.append(memoryview(buffer)[at : at + 4 * n].cast("I"))
+        for n in (n_arcs, n_arcs, n_arcs, self.words + 1, n_ids):
+            views.append(np.frombuffer(buffer, "<u4", n, at))
             at += 4 * n
-        self.first, self.targets, self.outputs, self.offsets, self.ids = views
-        self.buffer, self.base, self.words, self.states = buffer, at, n_words, n_states
+        self.keys, self.targets, self.outputs, self.offsets, self.ids = views
+        self.final = np.frombuffer(buffer, np.uint8, self.states, at)
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word, -1 for those that the automaton does not accept."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        data = np.frombuffer(b"".join(words), np.uint8)
+        start = np.cumsum(size) - size
+        out = np.full(len(words), -1, np.int64)
+        live = np.flatnonzero(size <= self.longest) if self.words else np.zeros(0, np.int64)
+        state, number, depth = np.full(len(live), self.root, np.int64), np.zeros(len(live), np.int64), 0
+        while len(live):
+            end = size[live] == depth
+            done = end & (self.final[state] == 1)
+            out[live[done]] = number[done]
+            live, state, number = live[~end], state[~end], number[~end]
+            if not len(live) or not len(self.keys):
+                break
+            key = (state << 8 | data[start[live] + depth]).astype(np.uint32)
+            arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            on = self.keys[arc] == key
+            arc, live = arc[on], live[on]
+            state, number, depth = self.targets[arc].astype(np.int64), number[on] + self.outputs[arc], depth + 1
+        return out
+
+    def packed(self, words: list[bytes]) -> list[bytes | None]:
+        """The packed ids of each word, None where it is not in the lexicon."""
+        found = self.numbers(words)
+        a, b = self.offsets[found], self.offsets[np.minimum(found + 1, self.words)]
+        return [None if n < 0 else self.ids[i:j].tobytes() for n, i, j in zip(found.tolist(), a.tolist(), b.tolist(), strict=True)]
 
     def get(self, word: bytes) -> list[int] | None:
-        first, find, base = self.first, self.buffer.find, self.base
-        state, number = self.root, 0
-        for b in word:
-            arc = find(_BYTES[b], base + (first[state] >> 1), base + (first[state + 1] >> 1)) - base
-            if arc < 0:
-                return None
-            number += self.outputs[arc]
-            state = self.targets[arc]
-        if not first[state] & 1:
-            return None
-        return list(self.ids[self.offsets[number] : self.offsets[number + 1]])
+        n = int(self.numbers([word])[0])
+        return None if n < 0 else self.ids[self.offsets[n] : self.offsets[n + 1]].tolist()
 
 
 def ship(spark: SparkSession, lexicon: bytes) -> str:
@@ -225,25 +296,67 @@ class Splitter:
 
 
 class Codec(dict):
-    """Encodes and decodes whole texts. As a dict it holds the packed ids of ``most`` words met last, each of 64
-    bytes at most: about 20 MB."""
+    """Encodes and decodes whole texts. As a dict it holds the packed ids of the words met last, ``most`` of them and
+    as many of the time before, each of 64 bytes at most: about 80 MB. Frequent words pass from one to the other."""
 
-    def __init__(self, path: str, lexicon: mmap.mmap | bytes | None = None, most: int = 100_000):
+    def __init__(self, path: str, lexicon: mmap.mmap | bytes | None = None, most: int = 200_000):
         super().__init__()
-        self.vocabulary, self.most = vocabulary(path), most
+        self.vocabulary, self.most, self.before = vocabulary(path), most, {}
         self.lexicon = Transducer(lexicon) if lexicon else None
         self.split = Splitter(self.vocabulary.special)
 
     def __missing__(self, word: str) -> bytes:
-        raw = word.encode("utf-8", "replace")
-        ids = self.lexicon.get(raw) if self.lexicon and len(raw) <= self.lexicon.longest else None
-        packed = np.array(self.vocabulary.merge(raw) if ids is None else ids, "<u4").tobytes()
-        if len(raw) <= 64:
-            if len(self) >= self.most:
-                self.clear()
-            self[word] = packed
+        packed = self.before.get(word)
+        if packed is None:
+            raw = word.encode("utf-8", "replace")
+            ids = self._listed(raw)
+            packed = _packed(self.vocabulary.merge(raw) if ids is None else ids)
+            if len(raw) > 64:
+                return packed
+        self._hold(word, packed)
         return packed
 
+    def _listed(self, raw: bytes) -> list[int] | None:
+        return self.lexicon.get(raw) if self.lexicon else None
+
+    def _hold(self, word: str, packed: bytes) -> None:
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        self[word] = packed
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """encode() of each text; words that are not in memory walk the lexicon together, and those that it lacks are
+        merged together."""
+        out = []
+        for a, b in chunks(texts, 1_000_000):
+            parts = [[p if i % 2 else self.split.words(p) for i, p in enumerate(self.split.pieces(t or ""))] for t in texts[a:b]]
+            new = set().union(*(p for ps in parts for p in ps[::2])).difference(self)
+            own = {w: self.before[w] for w in new & self.before.keys()}
+            rest = list(new.difference(own))
+            raw = [w.encode("utf-8", "replace") for w in rest]
+            if self.lexicon:
+                found = self.lexicon.packed(raw)
+                own.update((w, x) for w, x in zip(rest, found, strict=True) if x is not None)
+                rest, raw = [w for w, x in zip(rest, found, strict=True) if x is None], [r for r, x in zip(raw, found, strict=True) if x is None]
+            own.update(zip(rest, self.vocabulary.merge_all(raw), strict=True))
+            if len(self) + len(own) > self.most:
+                self.before = {w: x for w, x in self.items() if len(w) <= 64}
+                # words of this chunk may be among those that go
+                kept = {w: self[w] for w in set().union(*(p for ps in parts for p in ps[::2])).difference(own)}
+                self.clear()
+                self.update(kept)
+            self.update(own)
+            find = self.__getitem__
+            for ps in parts:
+                if len(ps) == 1:
+                    out.append(b"".join(map(find, ps[0])))
+                else:
+                    out.append(b"".join([x for i, p in enumerate(ps) for x in ((_packed([self.vocabulary.special[p]]),) if i % 2 else map(find, p))]))
+            for w in [w for w in own if len(w) > 64]:
+                del self[w]
+        return out
+
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         out = []
@@ -263,9 +376,10 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def count_words(docs: DataFrame, path: str, text_col: str = "text", longest: int = LEXICON_WORD, most: int = 150_000) -> DataFrame:
+def count_words(docs: DataFrame, path: str, text_col: str = "text", longest: int = LEXICON_WORD, most: int = 300_000, least: int = 1) -> DataFrame:
     """(word binary, n): counts of all pre-tokens up to ``longest`` bytes; a null text has none. A task holds about
-    ``most`` words at once, besides those of one text."""
+    ``most`` words at once, besides those of one text, and then tells those met ``least`` times since it last did:
+    with 1 the counts are exact, with 2 they are lossy counts, which miss single meetings."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         split, seen, opened = Splitter(vocabulary(path).special), Counter(), Counter()
@@ -274,7 +388,7 @@ def count_words(docs: DataFrame, path: str, text_col: str = "text", longest: int
             for piece, n in opened.items():  # one split for all places of a piece
                 for w in split.words(" " + piece):
                     seen[w] += n
-            some = [(k, n) for w, n in seen.items() if len(k := w.encode("utf-8", "replace")) <= longest]
+            some = [(k, n) for w, n in seen.items() if n >= least and len(k := w.encode("utf-8", "replace")) <= longest]
             seen.clear()
             opened.clear()
             return pd.DataFrame(some, columns=["word", "n"])
@@ -298,12 +412,13 @@ def count_words(docs: DataFrame, path: str, text_col: str = "text", longest: int
 
 
 def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", size: int = LEXICON_SIZE) -> bytes:
-    """The transducer of the ``size`` most frequent words that occur twice; null texts and an empty table have none.
+    """The transducer of the ``size`` most frequent words by lossy counts over all texts; null texts and an empty
+    table have none. A frequent word that is missed costs a merge and changes no result.
 
     Only these words and a histogram of at most 64 rows leave the executors.
     """
     with settings(docs.sparkSession, SHORT_SHUFFLES):
-        words = cut(count_words(docs, path, text_col).where("n > 1"))
+        words = cut(count_words(docs, path, text_col, least=2))
         # words per power of two of their counts first, so that the histogram has a fixed number of rows
         power = F.floor(F.log2("n")).cast("int")
         coarse = {r["p"]: r["m"] for r in words.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("m")).collect()}
@@ -343,7 +458,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", lexicon: bytes |
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = worker_codec(path, name)
         for s in batches:
-            ids = [codec.encode(t) for t in s]
+            ids = codec.encode_all([t if isinstance(t, str) else None for t in s])
             yield pd.DataFrame({ids_col: ids} | ({text_out: [codec.decode(x) for x in ids]} if decoded else {}))
             del ids
         give_back()

@@ -27,6 +27,17 @@ def test_codec_equals_library(library):
             got = codec.encode(t)
             assert np.frombuffer(got, "<u4").tolist() == want, repr(t)
             assert codec.decode(got) == library.decode(want, skip_special_tokens=False), repr(t)
+        assert codec.encode_all([*texts, None]) == [*map(codec.encode, texts), b""]
+    small = bpe.Codec(PATH, lex, most=5)  # a memory that forgets at once
+    assert small.encode_all(texts) == [*map(codec.encode, texts)]
+
+
+def test_merging_words_together_equals_one_by_one():
+    rng = random.Random(8)
+    v = bpe.vocabulary(PATH)
+    words = ["".join(rng.choices("aeinorst hlétion", k=rng.randint(1, 60))).encode() for _ in range(4000)] + [b"", b"x" * 500, b"a"]
+    assert v.merge_all(words) == [np.array(v.merge(w), "<u4").tobytes() for w in words]
+    assert v.merge_all([]) == [] and v.merge_all([b"abc"]) == [np.array(v.merge(b"abc"), "<u4").tobytes()]
 
 
 def test_transducer_is_exact_and_minimal(tmp_path):
