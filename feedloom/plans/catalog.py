@@ -33,20 +33,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    """documents as items, with whole texts or with the prefixes that the SQL of similarity and digest states."""
+    """documents as items: the whole text as snippet, its whole first line as title (with ``whole`` the whole text)."""
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ord"),
-        (F.col("text") if whole else F.left("text", F.lit(80))).alias("title"),
+        (F.col("text") if whole else F.substring_index("text", "\n", 1)).alias("title"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/a/"), F.col("doc_id").cast("string")).alias("url"),
         F.col("source").alias("origin"),
-        (F.col("text") if whole else F.left("text", F.lit(200))).alias("raw"),
+        F.col("text").alias("raw"),
         F.col("n_chars").alias("score"),
         (F.col("doc_id") % 6).cast("int").alias("weight"),
         F.lit("").alias("published"),
     )
 
 
-ITEMS = "items as (select doc_id as ord, left(text, 80) as title, 'https://' || source || '.example.org/a/' || doc_id as url, source as origin, left(text, 200) as raw, n_chars as score, (doc_id % 6)::int as weight, '' as published from documents)"
+ITEMS = "items as (select doc_id as ord, split_part(text, chr(10), 1) as title, 'https://' || source || '.example.org/a/' || doc_id as url, source as origin, text as raw, n_chars as score, (doc_id % 6)::int as weight, '' as published from documents)"
 
 
 def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,9 +211,10 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"select token, count(*) as n, count(distinct doc_id) as docs from (select doc_id, unnest({_tokens_sql('text')}) as token from documents) group by 1")
 def token_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.explode(text.tokens("text")).alias("token"))
-    per = d.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
-    return per.groupBy("token").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("docs"))
+    """Two plain counts of every token's places and of its first places in their texts, combined before the shuffle."""
+    at = text.tokens("text")
+    d = table(spark, sf_dir, "documents").select(at.alias("t")).select(F.explode(F.concat(F.transform("t", lambda x: F.struct(x.alias("token"), F.lit(1).alias("n"), F.lit(0).alias("d"))), F.transform(F.array_distinct("t"), lambda x: F.struct(x.alias("token"), F.lit(0).alias("n"), F.lit(1).alias("d"))))).alias("x"))
+    return d.groupBy(F.col("x.token").alias("token")).agg(F.sum("x.n").alias("n"), F.sum("x.d").alias("docs"))
 
 
 @query("select conv_id, turn, trim(text, ' \t\n\r') as body, false as is_report from conversations")
@@ -257,8 +258,8 @@ def _embed_sql(rows: str) -> str:
         where len(trim(regexp_replace(title, '{SPACES}', ' ', 'g'))) + len(raw) >= 6)"""
 
 
-DOCS = "(select doc_id as id, left(text, 80) as title, left(text, 200) as raw from documents)"
-BENCH = "(select -1 - item_id as id, left(text, 80) as title, left(text, 200) as raw from benchmark)"
+DOCS = "(select doc_id as id, split_part(text, chr(10), 1) as title, text as raw from documents)"
+BENCH = "(select -1 - item_id as id, split_part(text, chr(10), 1) as title, text as raw from benchmark)"
 
 
 @query(f"with t as {_embed_sql(DOCS)}, {VECTORS} select a.id as a, b.id as b, round(sum(a.w * b.w), 6) as score from v a join v b on a.token = b.token and a.id < b.id group by 1, 2 having sum(a.w * b.w) >= {similar.GRAY}")
@@ -267,30 +268,43 @@ def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar.similar_pairs(v).select("a", "b", F.round("score", 6).alias("score"))
 
 
-def _against_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hist = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ord"), F.left("text", F.lit(80)).alias("title"), F.left("text", F.lit(200)).alias("raw"))
-    scores = similar.cross_scores(similar.encode_lexical(items(spark, sf_dir), "ord"), similar.encode_lexical(hist, "ord"))
+#: Least score of a best match that is told; a verdict needs only candidates from the gray zone on.
+LEAST = 0.3
+
+
+def _benchmark_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.encode_lexical(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ord"), F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("raw")), "ord")
+
+
+def _against_benchmark(spark: SparkSession, sf_dir: str, least: float) -> DataFrame:
+    scores = similar.cross_pairs(similar.encode_lexical(items(spark, sf_dir), "ord"), _benchmark_vectors(spark, sf_dir), least)
     return similar.best_candidate(scores)
 
 
-BEST = f"""with t as (select * from {_embed_sql(DOCS)} union all select * from {_embed_sql(BENCH)}), {VECTORS},
-        s as (select a.id as doc_id, -1 - b.id as item_id, round(sum(a.w * b.w), 9) as score from v a join v b on a.token = b.token where a.id >= 0 and b.id < 0 group by 1, 2),
-        best as (select * from s qualify row_number() over (partition by doc_id order by score desc, item_id) = 1)"""
+SCORES = f"""with t as (select * from {_embed_sql(DOCS)} union all select * from {_embed_sql(BENCH)}), {VECTORS},
+        s as (select a.id as doc_id, -1 - b.id as item_id, round(sum(a.w * b.w), 9) as score from v a join v b on a.token = b.token where a.id >= 0 and b.id < 0 group by 1, 2)"""
+BEST = SCORES + """, best as (select * from s qualify row_number() over (partition by doc_id order by score desc, item_id) = 1)"""
 
 
-@query(BEST + " select doc_id, item_id, round(score, 4) as score from best")
+@query(BEST + f" select doc_id, item_id, round(score, 4) as score from best where score >= {LEAST}")
 def history_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _against_benchmark(spark, sf_dir).select(F.col("a").alias("doc_id"), F.col("b").alias("item_id"), F.round("score", 4).alias("score"))
+    return _against_benchmark(spark, sf_dir, LEAST).select(F.col("a").alias("doc_id"), F.col("b").alias("item_id"), F.round("score", 4).alias("score"))
+
+
+@query(SCORES + " select round(max(score), 4) as max_history_score from s")
+def max_history_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = similar.max_score(similar.encode_lexical(items(spark, sf_dir), "ord"), _benchmark_vectors(spark, sf_dir))
+    return spark.range(1).select(F.round(F.lit(float(top)), 4).alias("max_history_score"))
 
 
 @query(
-    BEST + f""" select doc_id, item_id, case when score >= {similar.DUP} + case when source = 'src' || (item_id % 20) then {similar.MARGIN} else 0 end then 'drop'
-        when score >= {similar.GRAY} then 'suspect' else 'keep' end as action from best join documents using (doc_id)"""
+    BEST + f""" select doc_id, case when score >= {similar.GRAY} then item_id else -1 end as item_id, case when score >= {similar.DUP} + case when source = 'src' || (item_id % 20) then {similar.MARGIN} else 0 end then 'drop'
+        when score >= {similar.GRAY} then 'suspect' else 'keep' end as action from documents left join best using (doc_id)"""
 )
 def dup_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = _against_benchmark(spark, sf_dir).join(items(spark, sf_dir).select(F.col("ord").alias("a"), "origin"), "a")
+    best = items(spark, sf_dir).select(F.col("ord").alias("a"), "origin").join(_against_benchmark(spark, sf_dir, similar.GRAY), "a", "left")
     same = F.col("origin") == F.concat(F.lit("src"), (F.col("b") % 20).cast("string"))
-    return best.select(F.col("a").alias("doc_id"), F.col("b").alias("item_id"), similar.verdict(F.col("score"), same, F.lit(False), F.lit(True)).alias("action"))
+    return best.select(F.col("a").alias("doc_id"), F.coalesce("b", F.lit(-1)).alias("item_id"), similar.verdict(F.coalesce("score", F.lit(0.0)), F.coalesce(same, F.lit(False)), F.lit(False), F.lit(True)).alias("action"))
 
 
 @query()
@@ -318,7 +332,7 @@ def dense_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
               count(*) filter (score < threshold and truth) as fn, count(*) filter (score < threshold and not truth) as tn from f, th group by 1"""
 )
 def threshold_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = _against_benchmark(spark, sf_dir).select(F.col("a").alias("doc_id"), F.round("score", 9).alias("score"))
+    best = _against_benchmark(spark, sf_dir, 0.5).select(F.col("a").alias("doc_id"), F.round("score", 9).alias("score"))
     f = table(spark, sf_dir, "labels").join(best, "doc_id", "left").select((F.col("quality") == 0).alias("truth"), F.coalesce("score", F.lit(0.0)).alias("score"))
     f = f.withColumn("threshold", F.explode(F.array(*map(F.lit, (0.5, 0.6, 0.7, 0.8, 0.9)))))
     hit = F.col("score") >= F.col("threshold")
@@ -565,3 +579,182 @@ def html_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def html_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main content as Markdown; a tree walk, tested on hand-made pages."""
     return html.extract(table(spark, sf_dir, "pages")).select("page_id", "title", "markdown", "text", "char_count")
+
+
+# Functions and operators bound to made texts, so that every branch is met
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", "url")
+
+
+@query(
+    """select page_id, regexp_matches(lower(left(regexp_replace(html, '^\\s+', ''), 200)), '^(<!doctype html|<html)') as is_page,
+       case when page_id % 3 = 0 then 'json' when page_id % 3 = 1 then 'xml' else 'html' end as kind from pages"""
+)
+def page_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages that stand for feeds, and kinds by header or by first letters."""
+    k, odd = F.col("page_id") % 3, F.col("page_id") % 2 == 1
+    header = F.when(odd & (k == 0), "application/JSON; charset=x").when(odd & (k == 1), "application/rss+xml").when(odd, "application/xhtml+xml; text/html")
+    body = F.when(~odd & (k == 0), F.lit(" [1]")).when(~odd & (k == 1), F.lit("\n<?xml version='1.0'?>")).otherwise(F.lit("<html>"))
+    return table(spark, sf_dir, "pages").select("page_id", text.looks_like_html("html").alias("is_page"), feeds.content_kind(header, F.when(odd, F.lit("x")).otherwise(body)).alias("kind"))
+
+
+@query(
+    """select page_id, case page_id % 6 when 0 then 'https://' || page_id || '.test/a' when 1 then 'https://b.test/c' when 2 then '' when 3 then 'http://x.test/' || page_id
+       when 4 then 'https://b.test/d/' || page_id else '' end as link from pages"""
+)
+def absolute_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, k = F.col("page_id").cast("string"), F.col("page_id") % 6
+    raw = F.when(k == 0, F.concat(F.lit("//"), n, F.lit(".test/a"))).when(k == 1, F.lit(" /c ")).when(k == 2, F.lit("JavaScript:go()")).when(k == 3, F.concat(F.lit("http://x.test/"), n)).when(k == 4, n)
+    return _pages(spark, sf_dir).select("page_id", url.absolute(raw, F.lit("https://b.test/d/page")).alias("link"))
+
+
+@query("select page_id, (case when page_id % 3 = 2 then 1 else 0 end)::int as pos, 'https://h.test/' || page_id as url, 't ' || page_id as title, '' as origin from pages")
+def history_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History texts as JSON array, single object, and JSON Lines whose first line is broken."""
+    n, k = F.col("page_id").cast("string"), F.col("page_id") % 3
+    row = F.concat(F.lit('{"url": "https://h.test/'), n, F.lit('", "title": " t  '), n, F.lit('"}'))
+    body = F.when(k == 0, F.concat(F.lit("["), row, F.lit(", 5]"))).when(k == 1, row).otherwise(F.concat(F.lit("{broken\n"), row, F.lit("\n")))
+    p = _pages(spark, sf_dir).select("page_id", body.alias("body"))
+    got = feeds.history_rows(p).select("pos", "url", "title", F.coalesce("origin", F.lit("")).alias("origin"))
+    return got.select(F.regexp_extract("url", "([0-9]+)$", 1).cast("bigint").alias("page_id"), F.col("pos").cast("int").alias("pos"), "url", "title", "origin")
+
+
+@query("select 'u' || vec_id as url, len(embedding)::int as n, round(list_sum(embedding::double[]), 4) as total from embeddings")
+def embedding_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as JSON, every second one as an object of numbered entries."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    keyed = F.map_from_arrays(F.transform(F.sequence(F.lit(0), F.size("v") - 1), lambda i: i.cast("string")), F.col("v"))
+    name = F.concat(F.lit("u"), F.col("vec_id").cast("string"))
+    body = F.when(F.col("vec_id") % 2 == 0, F.to_json(F.create_map(name, F.col("v")))).otherwise(F.to_json(F.create_map(name, keyed)))
+    got = feeds.embedding_rows(e.select(body.alias("body")))
+    return got.select("url", F.size("vector").alias("n"), F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
+
+
+@query("select vec_id, round(sqrt(list_sum(list_transform(u, lambda x: x * x))), 6) as norm, round(u[1], 6) as head from (select vec_id, list_transform(embedding::double[], lambda x: x / sqrt(list_sum(list_transform(embedding::double[], lambda y: y * y)))) as u from embeddings)")
+def unit_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = table(spark, sf_dir, "embeddings").select("vec_id", similar.unit_vector(F.col("embedding")).alias("u"))
+    return u.select("vec_id", F.round(F.sqrt(similar.dot(F.col("u"), F.col("u"))), 6).alias("norm"), F.round(F.element_at("u", 1), 6).alias("head"))
+
+
+@query("select page_id as ord, 'S <' || page_id || '>' as title, url, 'HN' as origin, case page_id % 2 when 0 then '2026-01-01T00:00:00Z' else '2026-01-01 08:00' end as published, left(repeat('ab ' || page_id || ' ', 120), 400) as raw, 3 as weight, coalesce(nullif(page_id % 4, 0), 0)::bigint as score from pages where page_id % 5 <> 4")
+def story_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stories as items: markup and entities go, snippets end at 400 characters, empty titles are left out."""
+    n, k = F.col("page_id").cast("string"), F.col("page_id")
+    made = _pages(spark, sf_dir).select(
+        F.when(k % 5 == 4, F.lit("<b> </b>")).otherwise(F.concat(F.lit("<b>S</b> &lt;"), n, F.lit("&gt;"))).alias("title"),
+        "url",
+        F.lit("2026-01-01 08:00").alias("time"),
+        F.when(k % 2 == 0, F.lit("2026-01-01T00:00:00Z")).otherwise(F.lit("")).alias("time_iso"),
+        F.repeat(F.concat(F.lit("ab "), n, F.lit(" ")), F.lit(120)).alias("text"),
+        F.nullif(k % 4, F.lit(0)).cast("bigint").alias("score"),
+        k.alias("ord"),
+    )
+    return feeds.story_items(made)
+
+
+@query("select count(*) * 3 as entries, count(*) as skipped, count(*) as count, count(*) as deduplicated from pages")
+def story_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page as a payload of a story, its copy under a tracked link, and an entry without a title."""
+    n = F.col("page_id").cast("string")
+    one = lambda title, tail: F.concat(F.lit(f'{{"title": "{title}", "url": "https://c.test/'), n, F.lit(f'{tail}"}}'))
+    p = _pages(spark, sf_dir).select(F.col("page_id").alias("_feed"), F.concat(F.lit("["), one("a", ""), F.lit(","), one("b", "?utm_source=x"), F.lit(","), one("", "/z"), F.lit("]")).alias("body"))
+    return stories.counts(p)
+
+
+@query(f"select page_id from (select page_id, {STORE_KEY} as url_key from pages) where url_key in (select {STORE_KEY} from pages where page_id % 10 = 0)")
+def known_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = url_key_store(spark, sf_dir)
+    return dedup.known(keyed, keyed.where("page_id % 10 = 0"), "url_key").select("page_id")
+
+
+@query(
+    """with e as (select event_id, case when event_id % 9 = 0 then '' else 'u' || user_id end as k from events), st as (select distinct k from e where event_id % 4 = 0 and k <> ''),
+       n as (select *, row_number() over (partition by k order by event_id) as rn from e where event_id % 4 <> 0)
+       select count(*) filter (k <> '' and rn = 1 and k not in (select k from st)) as fresh, count(*) filter (k <> '' and (rn > 1 or k in (select k from st))) as duplicate,
+              count(*) filter (k = '') as invalid, count(*) filter (k <> '' and rn = 1 and k not in (select k from st)) as recorded,
+              (select count(*) from (select k from st union select k from n where k <> '')) as held from n"""
+)
+def store_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fresh articles of a batch and what the store holds after they are recorded."""
+    e = table(spark, sf_dir, "events")
+    key = F.when(F.col("event_id") % 9 == 0, F.lit("")).otherwise(F.concat(F.lit("u"), F.col("user_id").cast("string")))
+    rows = e.select("event_id", key.alias("url_key"), F.lit("").alias("url"), F.to_date("ts").alias("run_date"), F.lit("").alias("source"), F.lit("").alias("title"), F.lit("").alias("raw"), F.col("ts").cast("timestamp").alias("pushed_at"))
+    state = dedup.first_per_key(rows.where("event_id % 4 = 0"), "url_key", "event_id").drop("event_id")
+    _, after, tell = store.commit_new(state, rows.where("event_id % 4 <> 0"), "event_id")
+    return tell.join(after.agg(F.count(F.lit(1)).alias("held")))
+
+
+@query(
+    """with o as (select event_id, 'u' || user_id as url, strftime(ts, '%Y-%m-%d') as date, event_type as title from events where event_id % 2 = 0), n as (select distinct 'u' || user_id as url from events where event_id % 2 = 1)
+       select url, date, title from o where url not in (select url from n) union all select url, '2026-01-02', 'new' from n"""
+)
+def legacy_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"), F.date_format("ts", "yyyy-MM-dd").alias("date"), F.col("event_type").alias("title"))
+    return store.merged_history(e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1").withColumn("title", F.lit("new")), "2026-01-02")
+
+
+@query(
+    f"""with i as (select page_id as ord, {STORE_KEY} as url, regexp_extract(url, '://[^/?#]*[.]([a-z]+)', 1) as origin, page_id % 5 + 1 as weight, page_id * 37 % 101 as score from pages),
+        k as (select * from i qualify row_number() over (partition by url order by ord) = 1), o as (select count(distinct origin) as n from k),
+        q as (select *, row_number() over (partition by origin order by weight desc, score desc, ord) as rn, row_number() over (order by weight desc, score desc, ord) as g from k),
+        t as (select * from q, o order by rn > greatest(3, 15 // n), g limit 15)
+        select (select count(*) filter (origin = 'com') from i) as com_raw, (select count(*) filter (origin = 'net') from i) as net_raw, 0::bigint as none_raw, (select count(*) from i) as merged_raw,
+               ['none(0)'] as missing_sources, (select count(*) from k) as after_url_dedup, (select string_agg(origin || '=' || n, ',' order by origin) from (select origin, count(*) as n from t group by 1)) as by_source,
+               (select count(*) from t) as selected, (select count(*) from i) - (select count(*) from k) as dropped, ['page for a feed'] as warnings"""
+)
+def daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = page_items(spark, sf_dir)
+    out = daily.stats(every, daily.candidates(every), daily.selection(every), {"com": "com_raw", "net": "net_raw", "none": "none_raw"}, ["page for a feed"])
+    by = F.array_join(F.transform(F.array_sort(F.map_entries("selected_by_source")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return out.withColumn("by_source", by).drop("selected_by_source")
+
+
+@query(
+    """with d as (select *, case when doc_id % 5 = 0 then 'drop' when doc_id % 7 = 0 then 'suspect' else 'keep' end as action from documents)
+       select count(*) as semantic_in, count(*) filter (action <> 'drop') as semantic_kept, count(*) filter (action = 'drop') as semantic_dropped, count(*) filter (action = 'suspect') as semantic_suspect,
+              (select string_agg(doc_id || ':' || left(text, 80), '|' order by doc_id) from (select * from d where action = 'drop' order by doc_id limit 20)) as dropped_detail,
+              (select string_agg(doc_id || ':' || left(text, 80), '|' order by doc_id) from (select * from d where action = 'suspect' order by doc_id limit 20)) as suspect_detail from d"""
+)
+def dedup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of verdicts and the details of the first twenty of each kind, whose titles end at 80 characters."""
+    i = F.col("ord")
+    action = F.when(i % 5 == 0, "drop").when(i % 7 == 0, "suspect").otherwise("keep")
+    judged = items(spark, sf_dir, whole=True).select("ord", "title", action.alias("action"), F.lit(0.9).alias("similarity"), F.lit("u").alias("similar_to"), F.lit("batch").alias("similar_scope"))
+    out = similar.dedup_stats(judged).drop("max_history_score")
+    return out.withColumns({c: F.array_join(F.transform(c, lambda d: F.concat(d["ord"].cast("string"), F.lit(":"), d["title"])), "|") for c in ("dropped_detail", "suspect_detail")})
+
+
+@query(
+    """select conv_id, turn, case (conv_id + turn) % 4 when 0 then '# 今日头条 重要进展' || chr(10) || '[x](https://r.test/' || turn || ')' when 1 then 'see https://r.test/a)b' when 2 then '重要进展 only https://r.test/' else '今日头条 重要进展, no link' end as body,
+       (conv_id + turn) % 4 = 0 as is_report from conversations"""
+)
+def wrapped_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports inside thoughts, comments, fences and escaped brackets, and texts that are none."""
+    k, n = (F.col("conv_id") + F.col("turn")) % 4, F.col("turn").cast("string")
+    full = F.concat(F.lit("<think>今日头条 https://t.test</think>\n<!-- note -->```markdown\n# 今日头条 重要进展\n[x](https://r.test/"), n, F.lit("\\)\n```"))
+    raw = F.when(k == 0, full).when(k == 1, F.lit("<THINK>a\nb</THINK> see https://r.test/a\\)b")).when(k == 2, F.lit("```\n重要进展 only https://r.test/\n```")).otherwise(F.lit("<!-- https://c.test -->今日头条 重要进展, no link"))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", text.strip_wrappers(raw).alias("body"))
+    return c.select("conv_id", "turn", "body", text.looks_like_report("body").alias("is_report"))
+
+
+@query("select doc_id, 'model-' || doc_id || ' v2.' || (doc_id % 7) || ' 深 度 学 习 深度 度的 的学 学习' as tokens from documents")
+def mixed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latin words first, then single letters and pairs of CJK runs; stop words and single Latin letters go."""
+    n = F.col("doc_id")
+    made = F.concat(F.lit("深度的学习, the Model-"), n.cast("string"), F.lit(" a V2."), (n % 7).cast("string"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.tokens(made), " ").alias("tokens"))
+
+
+@query(
+    """select event_id, case event_id % 3 when 0 then 'a' || user_id || ',b' when 1 then 'plain ' || user_id else '' end as listed, case when event_id % 4 = 0 then '—' else format('{:.1f}%', 100.0 * (event_id % 7) / (event_id % 4)) end as ratio,
+       case when event_id % 8 = 0 then 3 else least(5, greatest(1, event_id % 8 - 1)) end::int as stars from events where event_id % 8 <> 1
+       union all select event_id, case event_id % 3 when 0 then 'a' || user_id || ',b' when 1 then 'plain ' || user_id else '' end, case when event_id % 4 = 0 then '—' else format('{:.1f}%', 100.0 * (event_id % 7) / (event_id % 4)) end, 3 from events where event_id % 8 = 1"""
+)
+def lists_and_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lists or single strings as lists, percentages, and weights as stars (a missing or zero weight is 3)."""
+    i, u = F.col("event_id"), F.col("user_id").cast("string")
+    raw = F.when(i % 3 == 0, F.concat(F.lit('["a'), u, F.lit('", "b"]'))).when(i % 3 == 1, F.concat(F.lit("plain "), u)).otherwise(F.lit("  "))
+    weight = F.when(i % 8 != 0, i % 8 - 1)
+    return table(spark, sf_dir, "events").select("event_id", F.array_join(text.as_list(raw), ",").alias("listed"), text.ratio_text(i % 7, i % 4).alias("ratio"), text.importance(weight).alias("stars"))

@@ -202,5 +202,5 @@ def offline_feeds(spark: SparkSession, folder: str) -> DataFrame:
 
 def content_kind(content_type: Column, body: Column) -> Column:
     """json, xml or html, by the content type or the first letter."""
-    t, head = F.lower(F.coalesce(content_type, F.lit(""))), F.left(F.trim(F.coalesce(body, F.lit(""))), F.lit(5))
+    t, head = F.lower(F.coalesce(content_type, F.lit(""))), F.left(F.regexp_replace(F.coalesce(body, F.lit("")), r"(?U)^\s+", ""), F.lit(5))
     return F.when(t.contains("json") | head.rlike(r"^[{\[]"), "json").when((t.contains("xml") & ~t.contains("html")) | (head == "<?xml"), "xml").otherwise("html")
