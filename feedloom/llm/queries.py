@@ -36,7 +36,7 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft")
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,8 +70,11 @@ _HOST = "translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
 _LOW = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-def _counted(terms: list[str]) -> str:
-    return " + ".join(f"(regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)'))::int" for t in terms)
+def _counted(terms: list[str], weights: dict[str, float] | None = None) -> str:
+    return " + ".join(f"(regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)'))::int" + (f" * {weights[t]}::double" if weights else "") for t in terms)
+
+
+_SOFT = [t for t in urls.SOFT_TERMS if t not in urls.STRICT_TERMS]
 
 
 def _rules_sql() -> str:
@@ -82,14 +85,14 @@ def _rules_sql() -> str:
 
 
 def _verdict_sql() -> str:
-    return "case rule " + " ".join(f"when '{h}{p}' then '{v}'" for h, p, v in urls.RULES) + f" else case when n_strict >= 1 or n_soft >= {urls.SOFT_HITS} then 'block' else 'allow' end end"
+    return "case rule " + " ".join(f"when '{h}{p}' then '{v}'" for h, p, v in urls.RULES) + f" else case when n_strict >= 1 or (n_soft >= {urls.SOFT_HITS} and soft_weight >= {urls.SOFT_LIMIT}) then 'block' else 'allow' end end"
 
 
 ORACLE = {
     "op5_url_filter": f"""
         with u as (select page_id, {_HOST} as host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path, {_LOW} as low from pages),
-        r as (select *, {_rules_sql()} as rule, ({_counted(urls.STRICT_TERMS)})::bigint as n_strict, ({_counted([t for t in urls.SOFT_TERMS if t not in urls.STRICT_TERMS])})::bigint as n_soft from u)
-        select page_id, host, path, rule, {_verdict_sql()} as verdict, n_strict, n_soft from r""",
+        r as (select *, {_rules_sql()} as rule, ({_counted(urls.STRICT_TERMS)})::bigint as n_strict, ({_counted(_SOFT)})::bigint as n_soft, ({_counted(_SOFT, urls.SOFT_WEIGHTS)})::double as soft_weight from u)
+        select page_id, host, path, rule, {_verdict_sql()} as verdict, n_strict, n_soft, soft_weight from r""",
     "op2_mix": """
         with n as (select coalesce(source, '') as s, count(*) as n from documents group by 1),
         r as (select s, (select sum(n) from n)::double / (select count(*) from n) / n as rate from n),

@@ -186,7 +186,27 @@ def test_license_rules():
     assert scan("Licensed under CC BY-NC 4.0.")["labels"] == "cc-by-nc"
     assert scan("This work is licensed under the GNU General Public License, version 3.")["labels"] == "gpl-3"
     assert scan("nothing to see")["labels"] == ""
-    assert len(licenses.rules()) > 300
+    assert len(licenses.SIGNATURES) > 110 and len(licenses.rules()) > 400
+    assert scan("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction")["labels"] == "mit"
+    assert scan("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal with the Software without restriction")["labels"] == "ncsa"
+    assert scan("Redistribution and use in source and binary forms, with or without modification, are permitted. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products")["labels"] == "bsd-3,bsd-any"
+    assert scan("it under the terms; this program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")["labels"] == "gpl-3"
+    assert scan("see https://creativecommons.org/licenses/by-nc-sa/4.0/")["labels"] == "cc-by-nc-sa"
+
+
+def plain_english(pattern):
+    """Texts that a signature matches, one for each choice among its alternatives."""
+    return spelled(pattern.replace(r"\S+ ", "word ").replace(r"{1,14}", "").replace(r"{1,8}", "").replace(r"{1,6}", "").replace(r"\d{4}", "1999").replace("(?! provided)", ""))
+
+
+def test_every_signature_passes_its_own_gate():
+    scanner = licenses.Scanner()
+    for label, _, _, keyword, pattern in licenses.SIGNATURES:
+        assert any(k in pattern for k in keyword.split("|")) or label.startswith("openrail"), (keyword, pattern)
+        for text in plain_english(pattern):
+            low = f" {text} ".encode()
+            assert any(k.encode() in low for k in keyword.split("|")), (keyword, low)
+            assert label in {r.label for r, _, _ in scanner.detect(low)} or any(r.priority > 50 for r, _, _ in scanner.detect(low)), (label, low)
 
 
 def spelled(pattern):

@@ -218,6 +218,16 @@ def test_urls(spark):
     clash = urls.judge(d.withColumns({c: F.lit("own") for c in ("host", "RULE", "_url", "_hits", "_rule")}))
     assert clash.where("host = 'own'").count() == 0 and clash.where("_url = 'own'").count() == len(rows)
     assert urls.judge(d.limit(0)).count() == 0
+    weak = spark.createDataFrame([(1, "http://a.org/girls-chat"), (2, "http://a.org/girls-chat-live-date"), (3, "http://a.org/sex-girls"), (4, "http://a.org/sex-bet")], "page_id long, url string")
+    assert [(r.n_soft, r.soft_weight, r.verdict) for r in urls.judge(weak).orderBy("page_id").collect()] == [(2, 1.0, "allow"), (4, 2.0, "block"), (2, 1.5, "allow"), (2, 2.0, "block")]
+
+
+def test_vocabulary_file(spark, tmp_path):
+    (tmp_path / "terms.tsv").write_text("# made here\nalpha\tstrict\tx\n\nbeta\t0.75\tx\ngamma\t1.25\ty\nword" + "".join(f"\t1\tz\nword{i}" for i in range(5000)) + "\t1\tz\n")
+    strict, soft = urls.load_terms(spark, str(tmp_path / "terms.tsv"))
+    assert strict == ["alpha"] and soft["beta"] == 0.75 and len(soft) == 5003
+    d = spark.createDataFrame([(1, "x/alpha"), (2, "x/beta"), (3, "x/beta.gamma"), (4, "x/word17,word4999"), (5, "x/adult")], "page_id long, url string")
+    assert [r.verdict for r in urls.judge(d, strict=strict, soft=soft).orderBy("page_id").collect()] == ["block", "allow", "block", "block", "allow"]
 
 
 def test_substring(docs, clashing):
