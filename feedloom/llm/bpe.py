@@ -72,6 +72,11 @@ class Vocabulary:
         order = np.argsort(keys)
         self._keys, self._ranks = keys[order], np.fromiter(self.joined.values(), np.int64, len(keys))[order]
         self.bytes = {v: k for k, v in ids.items()} | {v: k.encode() for k, v in self.special.items()}
+        size = np.zeros(max(self.bytes) + 1, np.int32)
+        size[list(self.bytes)] = [len(x) for x in self.bytes.values()]
+        #: the bytes of all ids in a row, and where each begins
+        self.flat, self.sizes = np.frombuffer(b"".join(self.bytes[i] for i in sorted(self.bytes)), np.uint8), size
+        self.places = (np.cumsum(size) - size).astype(np.int32)
 
     def merge(self, word: bytes) -> list[int]:
         """Applies the merges by rank, then from the left."""
@@ -297,9 +302,9 @@ class Splitter:
 
 class Codec(dict):
     """Encodes and decodes whole texts. As a dict it holds the packed ids of the words met last, ``most`` of them and
-    as many of the time before, each of 64 bytes at most: about 80 MB. Frequent words pass from one to the other."""
+    as many of the time before, each of 64 bytes at most: about 90 MB. Frequent words pass from one to the other."""
 
-    def __init__(self, path: str, lexicon: mmap.mmap | bytes | None = None, most: int = 200_000):
+    def __init__(self, path: str, lexicon: mmap.mmap | bytes | None = None, most: int = 250_000):
         super().__init__()
         self.vocabulary, self.most, self.before = vocabulary(path), most, {}
         self.lexicon = Transducer(lexicon) if lexicon else None
@@ -371,6 +376,21 @@ class Codec(dict):
         return b"".join(map(self.vocabulary.bytes.__getitem__, np.frombuffer(packed, "<u4").tolist())).decode("utf-8", "replace")
 
 
+    def decode_all(self, packed: list[bytes]) -> list[str]:
+        """decode() of each, the bytes of all ids gathered together."""
+        out, v = [], self.vocabulary
+        for a, b in chunks(packed, 1_000_000):
+            some = packed[a:b]
+            ids = np.frombuffer(b"".join(some), "<u4")
+            size = v.sizes[ids]
+            ends = np.cumsum(size, dtype=np.int64)
+            total = int(ends[-1]) if len(ends) else 0
+            raw = v.flat[np.arange(total) + np.repeat(v.places[ids] - (ends - size), size)].tobytes()
+            ends = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(x) // 4 for x in some])])].tolist()
+            out += [raw[i:j].decode("utf-8", "replace") for i, j in zip(ends, ends[1:], strict=False)]
+        return out
+
+
 @lru_cache(2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
@@ -379,15 +399,17 @@ def vocabulary(path: str) -> Vocabulary:
 def count_words(docs: DataFrame, path: str, text_col: str = "text", longest: int = LEXICON_WORD, most: int = 300_000, least: int = 1) -> DataFrame:
     """(word binary, n): counts of all pre-tokens up to ``longest`` bytes; a null text has none. A task holds about
     ``most`` words at once, besides those of one text, and then tells those met ``least`` times since it last did:
-    with 1 the counts are exact, with 2 they are lossy counts, which miss single meetings."""
+    with 1 the counts are exact, with 2 they are lossy counts, which miss what is met once, also
+    within the same neighbours."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         split, seen, opened = Splitter(vocabulary(path).special), Counter(), Counter()
 
         def out():
             for piece, n in opened.items():  # one split for all places of a piece
-                for w in split.words(" " + piece):
-                    seen[w] += n
+                if n >= least:
+                    for w in split.words(" " + piece):
+                        seen[w] += n
             some = [(k, n) for w, n in seen.items() if n >= least and len(k := w.encode("utf-8", "replace")) <= longest]
             seen.clear()
             opened.clear()
@@ -459,7 +481,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", lexicon: bytes |
         codec = worker_codec(path, name)
         for s in batches:
             ids = codec.encode_all([t if isinstance(t, str) else None for t in s])
-            yield pd.DataFrame({ids_col: ids} | ({text_out: [codec.decode(x) for x in ids]} if decoded else {}))
+            yield pd.DataFrame({ids_col: ids} | ({text_out: codec.decode_all(ids)} if decoded else {}))
             del ids
         give_back()
 
@@ -474,7 +496,7 @@ def decode(docs: DataFrame, path: str, ids_col: str = "ids", text_out: str = "te
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = Codec(path)
         for s in batches:
-            yield pd.Series([codec.decode(x or b"") for x in s], dtype=object)
+            yield pd.Series(codec.decode_all([bytes(x or b"") for x in s]), dtype=object)
 
     rest = [c for c in docs.columns if c != ids_col and c.lower() != text_out.lower()]
     return frugal(docs).select(*rest, F.pandas_udf(run, "string")(F.col(ids_col)).alias(text_out))

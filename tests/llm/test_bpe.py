@@ -28,6 +28,8 @@ def test_codec_equals_library(library):
             assert np.frombuffer(got, "<u4").tolist() == want, repr(t)
             assert codec.decode(got) == library.decode(want, skip_special_tokens=False), repr(t)
         assert codec.encode_all([*texts, None]) == [*map(codec.encode, texts), b""]
+        packed = [*map(codec.encode, texts), b""]
+        assert codec.decode_all(packed) == [*map(codec.decode, packed)] and codec.decode_all([]) == [] and codec.decode_all([b""]) == [""]
     small = bpe.Codec(PATH, lex, most=5)  # a memory that forgets at once
     assert small.encode_all(texts) == [*map(codec.encode, texts)]
 
