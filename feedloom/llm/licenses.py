@@ -13,6 +13,7 @@ from bisect import bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -268,13 +269,18 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 
 
 class Scanner:
-    """Scans one text at a time. A rule runs only on texts that hold one of each group of its keywords."""
+    """Scans one text at a time. One automaton finds the keywords of all rules; a rule runs only on texts that hold one
+    of each group of its keywords."""
 
     def __init__(self, phrases: dict[str, str] | None = None):
         self.phrases = {f" {p} ".encode(): label for p, label in (phrases or BASE_PHRASES).items()}
         self.by_keywords: dict[tuple[tuple[bytes, ...], ...], list[Rule]] = {}
+        self.prefilter = ahocorasick.Automaton()
         for r in rules():
             self.by_keywords.setdefault(r.keywords, []).append(r)
+            for k in (k for group in r.keywords for k in group):
+                self.prefilter.add_word(k.decode(), k)
+        self.prefilter.make_automaton()
 
     def scan(self, text: str | None) -> dict:
         parts = (text or "").encode("utf-8", "replace").translate(_TABLE).split()
@@ -302,12 +308,12 @@ class Scanner:
         return out
 
     def detect(self, low: bytes) -> list[tuple[Rule, int, int]]:
-        hits, has = [], {}
+        has = {k for _, k in self.prefilter.iter(low.decode("latin-1"))}  # byte by byte: all keywords are ASCII
+        if not has:
+            return []
+        hits = []
         for groups, some in self.by_keywords.items():
-            for g in groups:
-                if g not in has:
-                    has[g] = any(k in low for k in g)
-            if all(has[g] for g in groups):
+            if not any(has.isdisjoint(g) for g in groups):
                 hits += [(r, m.start(), m.end()) for r in some for m in r.pattern.finditer(low)]
         hits.sort(key=lambda h: (-h[0].priority, h[1] - h[2], h[1], h[0].label))
         return suppress(hits)
