@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, fresh, frugal
+from .common import chunks, cut, fresh, frugal, give_back
 
 ORDER = 3
 #: The model is fitted on about so many rows of each language, chosen by a hash of their ids: this bounds it.
@@ -35,7 +35,8 @@ def windows(data: np.ndarray) -> np.ndarray:
 
 
 def sample(docs: DataFrame, allowed: Column, id_col: str, lang_col: str, rows: int = TRAIN_ROWS) -> DataFrame:
-    """About ``rows`` labelled rows of each language. A row's place depends on its id alone."""
+    """About ``rows`` labelled rows of each language. A row's place depends on its id alone, a null id's is that of an
+    empty one; rows without a language are left out, and a row that ``allowed`` is null for too."""
     good = docs.where(allowed & F.col(lang_col).isNotNull())
     key, n = fresh(docs.columns, "_lang"), fresh(docs.columns, "_n")
     sizes = cut(good.groupBy(F.col(lang_col).alias(key)).agg(F.count(F.lit(1)).alias(n)))
@@ -155,15 +156,22 @@ class PPM:
 
 
 def train(labelled: DataFrame, text_col: str, lang_col: str) -> PPM:
-    """Counts windows on the executors; only the counts of the bounded sample reach the driver."""
+    """The model of labelled rows, which should be a bounded sample; only their window counts reach the driver.
+
+    A null text is an empty one, a null language is left out, rows may repeat and count again. Texts are read whole, a
+    chunk of them at once. Without rows the model knows no language.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for lang, some in pdf.groupby("lang"):
-                data = np.frombuffer(b"".join(_PAD + t.encode("utf-8", "replace") for t in some["text"]), np.uint8)
-                if len(data) > 3:
-                    g, n = np.unique(windows(data), return_counts=True)
-                    yield pd.DataFrame({"lang": lang, "g": g.astype(np.int64), "n": n})
+                texts = some["text"].tolist()
+                for a, b in chunks(texts):
+                    data = np.frombuffer(b"".join(_PAD + t.encode("utf-8", "replace") for t in texts[a:b]), np.uint8)
+                    if len(data) > 3:
+                        g, n = np.unique(windows(data), return_counts=True)
+                        yield pd.DataFrame({"lang": lang, "g": g.astype(np.int64), "n": n})
+        give_back()
 
     src = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = frugal(src).mapInPandas(run, "lang string, g bigint, n bigint").groupBy("lang", "g").agg(F.sum("n").alias("n")).toPandas()

@@ -13,43 +13,54 @@ SP = r"[\x20\x09-\x0D]"
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded texts; null and empty texts have no ids, repeated rows repeat."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"), decoded=True)
     return coded.select("doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdicts of all documents; a null text has no words and fails, null sources are one host. The prior is
+    that of beta_prior(), which SQL can state."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return quality.judge(docs, prior=quality.beta_prior).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("host_rate", 9).alias("host_rate"), "host_strict")
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of every document; nulls are empty texts, ties go to the least id, repeated rows share a verdict."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document; texts without words are classes of their own."""
     return near_dedup.near_classes(table(spark, sf_dir, "documents"))
 
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by their Poisson counts at equal weights of all sources; a null source is one; copies have replica numbers."""
     return mixing.mix(table(spark, sf_dir, "documents"), facts=True)
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of all pages; a null url, or one without ://, has an empty host and path and is judged by its terms."""
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents; a null or empty text has no words, no places and no labels."""
     found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without words of windows that start earlier too. Three batches go through an index
+    that compacts whenever it holds two runs. Null, empty and short texts lose nothing."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(docs, batches=3, max_runs=1).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of the rows that are not held out; null and empty texts have the least evidence."""
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     model = toxicity.train(docs, labels, F.crc32(F.col("_id").cast("string")) % 4 != 2)
@@ -58,6 +69,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents by models of the rows that are not held out; und and 0 without a letter."""
     docs = table(spark, sf_dir, "documents")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     model = langid.train(langid.sample(docs, ~held, "doc_id", "lang"), "text", "lang")

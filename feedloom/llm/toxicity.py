@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, frugal, words
+from .common import cut, fresh, frugal, give_back, words
 
 #: Insults that are terms from the start (fixed values).
 SEED_TERMS = """
@@ -145,15 +145,17 @@ def bare(word: bytes) -> str:
 class Matcher(dict):
     """From a word of a text to 1 + term index and errors packed, or 0; keeps the words met last."""
 
-    def __init__(self, lexicon: FuzzyLexicon, most: int = 400_000):
+    def __init__(self, lexicon: FuzzyLexicon, most: int = 200_000):
         super().__init__()
         self.lexicon, self.most = lexicon, most
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        hit = self.lexicon.find(bare(word)[:64])
-        self[word] = code = 0 if hit is None else (hit[0] + 1) * 4 + hit[1]
+        hit = self.lexicon.find(bare(word))
+        code = 0 if hit is None else (hit[0] + 1) * 4 + hit[1]
+        if len(word) <= 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = code
         return code
 
 
@@ -262,7 +264,9 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 40) -> n
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
     """The lexicon and model of a bounded sample of the labelled rows that ``allowed`` (over column _id) admits.
 
-    Without labels of both kinds the model is the seed list with fixed coefficients.
+    Without labels of both kinds the model is the seed list with fixed coefficients. Null texts are empty ones; null
+    labels, ids without a document and documents without a label teach nothing; of labels that repeat an id the greatest
+    counts. At most MAX_TERMS terms are learned, those of the most evidence.
     """
     some = sample(docs, labels, allowed, id_col, text_col, label_col, rows)
     learned = learn_terms(some)
@@ -295,6 +299,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         for s in batches:
             rows = np.array([features(t, matcher) for t in s], float).reshape(-1, FEATURES)
             yield pd.Series(m.score(rows))
+        matcher.clear()
+        give_back()
 
     rest = [c for c in docs.columns if c != text_col and c.lower() != "score"]
     s = fresh(docs.columns, "_score")

@@ -288,6 +288,12 @@ def test_fuzzy_lexicon_against_brute_force():
         assert lex.find(w) == (None if best is None else (best[2], best[0])), w
 
 
+def test_long_terms_match():
+    term = "verylong" * 9
+    matcher = toxicity.Matcher(toxicity.FuzzyLexicon([(term, False, 4.0)]))
+    assert matcher[term.encode()] and matcher[(term[:-1] + "x").encode()] and not matcher[(term + "tail").encode()]
+
+
 def test_quotation_scores_below_abuse():
     matcher = toxicity.Matcher(toxicity.FuzzyLexicon([(t, False, 4.0) for t in toxicity.SEED_TERMS]))
     plain = toxicity.features("you are an idiot and always were one", matcher)
