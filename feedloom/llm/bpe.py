@@ -26,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SHORT_SHUFFLES, chunks, cut, fresh, frugal, give_back, settings, shared_dir
+from .common import SHORT_SHUFFLES, chunks, cut, fresh, frugal, give_back, hold, settings, shared_dir
 
 #: Words in the lexicon and the longest of them in bytes: together they bound the file (under 8 MB).
 LEXICON_SIZE, LEXICON_WORD = 50_000, 40
@@ -302,9 +302,9 @@ class Splitter:
 
 class Codec(dict):
     """Encodes and decodes whole texts. As a dict it holds the packed ids of the words met last, ``most`` of them and
-    as many of the time before, each of 64 bytes at most: about 90 MB. Frequent words pass from one to the other."""
+    as many of the time before, each of 64 bytes at most: about 80 MB. Frequent words pass from one to the other."""
 
-    def __init__(self, path: str, lexicon: mmap.mmap | bytes | None = None, most: int = 250_000):
+    def __init__(self, path: str, lexicon: mmap.mmap | bytes | None = None, most: int = 200_000):
         super().__init__()
         self.vocabulary, self.most, self.before = vocabulary(path), most, {}
         self.lexicon = Transducer(lexicon) if lexicon else None
@@ -459,11 +459,17 @@ def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", size: int
 _HELD: dict[tuple[str, str], Codec] = {}
 
 
+def _drop() -> None:
+    _HELD.clear()
+    vocabulary.cache_clear()
+
+
 def worker_codec(path: str, name: str) -> Codec:
     """The codec that a worker keeps from task to task of one run."""
     if (path, name) not in _HELD:
         _HELD.clear()
         _HELD[path, name] = Codec(path, mapped(SparkFiles.get(name)))
+        hold("bpe", _drop)
     return _HELD[path, name]
 
 

@@ -86,6 +86,21 @@ def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
 SHORT_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, clear: Callable[[], None]) -> None:
+    """Says that an operator keeps something in this worker from task to task, and how to drop it."""
+    _HELD[owner] = clear
+
+
+def begin(owner: str) -> None:
+    """A task of this operator begins: what others keep in the worker goes."""
+    for other in [k for k in _HELD if k != owner]:
+        _HELD.pop(other)()
+        give_back()
+
+
 def give_back() -> None:
     """Returns the memory that a Python worker has freed: workers live on for later tasks of other operators."""
     try:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SHORT_SHUFFLES, Rolling, WordTable, chunks, cut, fresh, frugal, give_back, group_facts, mix64, settings, signed, words
+from .common import SHORT_SHUFFLES, Rolling, WordTable, begin, chunks, cut, fresh, frugal, give_back, group_facts, mix64, settings, signed, words
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
@@ -48,6 +48,7 @@ def document_frequencies(docs: DataFrame, text_col: str, most: int = 150_000) ->
     """(cell, df) over all documents; a task holds about ``most`` words at once, besides those of one text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("near_dedup")
         seen, table = Counter(), WordTable(most)
 
         def out():
@@ -176,6 +177,7 @@ def signatures(docs: DataFrame, weights: Weights, id_col: str, text_col: str, ba
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("near_dedup")
         table, sampler, w = WordTable(), Sampler(bands * rows), shared.value
         for pdf in batches:
             ids, texts = pdf["id"], pdf["text"].tolist()

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, CHUNK_CHARS, WordTable, chunks, cut, fresh, frugal, give_back, group_facts
+from .common import ASCII_SPACE, CHUNK_CHARS, WordTable, begin, chunks, cut, fresh, frugal, give_back, group_facts
 
 _SYMBOLS = "#*$%&|<>"
 MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
@@ -85,6 +85,7 @@ def measures(text: Column) -> Column:
 
     @F.pandas_udf(MEASURES)
     def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        begin("quality")
         table = WordTable()
         for s in batches:
             yield pd.DataFrame(measure([x if isinstance(x, str) else None for x in s], table))
