@@ -52,28 +52,26 @@ def payload_items(bodies: DataFrame, body: str, keys: list[str], max_depth: int
     """(keys, pos, item variant): the entries of each JSON payload, in order.
 
     A payload is a list, an object with a list under one of LISTS, an object of objects, or one item; a JSON
-    string inside stands for its content. Each level is one generator step, up to max_depth levels; what is
-    not JSON has no entries.
+    string inside stands for its content. A payload is unwrapped inside its row, up to max_depth levels, and its
+    entries come out of one generator at the end; what is not JSON has no entries.
     """
-    level = bodies.select(*keys, F.array().cast("array<int>").alias("pos"), F.try_parse_json(F.col(body)).alias("raw"))
-    done = None
+    none = F.lit(None)
+    level = bodies.select(*keys, F.try_parse_json(F.col(body)).alias("raw"), none.cast("variant").alias("found"), none.cast("string").alias("state"))
     for depth in range(max_depth + 1):
         quoted = F.try_parse_json(F.try_variant_get("raw", "$", "string"))
         level = settled(level, v=F.when((_kind(F.col("raw")) == "STRING") & F.lit(depth < max_depth), quoted).otherwise(F.col("raw"))).drop("raw")
         level = settled(level, kind=F.coalesce(_kind(F.col("v")), F.lit("VOID")), titled=F.coalesce(*(F.try_variant_get("v", f"$.{n}", "variant") for n in NAMES["title"] + NAMES["url"] + NAMES["id"])).isNotNull(), **{f"in_{n}": F.try_variant_get("v", f"$.{n}", "variant") for n in LISTS})
-        inner = F.coalesce(*(F.when(_kind(F.col(f"in_{n}")).rlike("^(ARRAY|OBJECT)"), F.col(f"in_{n}")) for n in LISTS))
-        level = settled(level, inner=inner).drop(*(f"in_{n}" for n in LISTS))
+        level = settled(level, inner=F.coalesce(*(F.when(_kind(F.col(f"in_{n}")).rlike("^(ARRAY|OBJECT)"), F.col(f"in_{n}")) for n in LISTS)))
         is_object = F.col("kind").startswith("OBJECT")
-        state = F.when(F.col("kind").startswith("ARRAY"), "list").when(is_object & F.col("inner").isNotNull(), "inner").when(is_object & ~F.col("titled"), "objects").when(is_object, "item").otherwise("none")
-        level = level.withColumn("state", state)
-        # entries of this level: the value itself, the elements of a list, the objects of an object
-        entries = F.when(F.col("state") == "item", F.array("v")).when(F.col("state") == "list", F.try_variant_get("v", "$", "array<variant>")).when(F.col("state") == "objects", F.map_values(F.try_variant_get("v", "$", "map<string,variant>")))
-        found = level.select(*keys, "pos", "state", F.posexplode(entries).alias("i", "item"))
-        found = found.where((F.col("state") != "objects") | _kind(F.col("item")).startswith("OBJECT")).select(*keys, F.concat("pos", F.array("i")).alias("pos"), "item")
-        done = found if done is None else done.unionByName(found)
-        if depth < max_depth:
-            level = level.where("state = 'inner'").select(*keys, "pos", F.col("inner").alias("raw"))
-    return done
+        wraps = is_object & F.col("inner").isNotNull()
+        here = F.when(F.col("kind").startswith("ARRAY"), "list").when(is_object & ~F.col("titled"), "objects").when(is_object, "item").otherwise("none")
+        # what was settled at an earlier level has a null here from then on
+        ends = F.col("state").isNull() & ~wraps
+        level = level.select(*keys, F.when(wraps, F.col("inner")).alias("raw"), F.when(ends, F.col("v")).otherwise(F.col("found")).alias("found"), F.when(ends, here).otherwise(F.col("state")).alias("state"))
+    state, v = F.col("state"), F.col("found")
+    entries = F.when(state == "item", F.array("found")).when(state == "list", F.try_variant_get(v, "$", "array<variant>")).when(state == "objects", F.map_values(F.try_variant_get(v, "$", "map<string,variant>")))
+    out = level.select(*keys, "state", F.posexplode(entries).alias("i", "item"))
+    return out.where((F.col("state") != "objects") | _kind(F.col("item")).startswith("OBJECT")).select(*keys, F.array("i").alias("pos"), "item")
 
 
 def settled(df: DataFrame, **cols: Column) -> DataFrame:
