@@ -10,7 +10,10 @@ are verified on whole texts by weighted Jaccard similarity, and verified links f
 Large buckets. Only connectivity matters, and 1 - weighted Jaccard is a metric. So a bucket's members are
 first compared with one leader; pairs already connected, and pairs that the triangle inequality excludes,
 need no comparison. Of what remains, small buckets are compared pair by pair, and large ones block against
-block, in matrix products of which only links leave the task. No link among bucket mates is lost.
+block, in matrix products of which only links leave the task. Beyond some blocks a bucket's members are first
+regrouped by their rarest shingles: a pair that reaches the threshold shares one of those that make up the
+first 1 - threshold of either weight, so boilerplate that fills a bucket compares nothing. No link among bucket
+mates is lost.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ _POOL = 1 << 16
 _SMALL = 16
 #: Documents and characters of a block of a large bucket.
 _BLOCK_DOCS, _BLOCK_CHARS = 512, 4_000_000
+#: Open members of a bucket from which on they are regrouped by rare shingles: 16 blocks would be 16 copies of a text.
+_REGROUP = 16 * _BLOCK_DOCS
 _BROADCAST_ROWS = 500_000
 
 
@@ -268,22 +273,97 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def block_links(x: tuple, y: tuple, threshold: float) -> np.ndarray:
-    """The pairs of rows (i of x, j of y) whose weighted Jaccard reaches the threshold.
+def occurrences(b: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, feature, weight of each feature; weight of each text) of (hashes, counts, weights, starts).
+
+    A shingle that occurs c times is c features of its weight per occurrence.
+    """
+    h, c, w, at = b
+    doc = np.repeat(np.repeat(np.arange(len(at) - 1), np.diff(at)), c)
+    nth = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+    with np.errstate(over="ignore"):
+        f = mix64(np.repeat(h, c) + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return doc, f, np.repeat(w / c, c), np.array([w[i:j].sum() for i, j in zip(at[:-1], at[1:], strict=True)])
+
+
+def rarest(b: tuple, seen: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, feature, weight of the text) for the features of which any partner must share one.
 
-    x and y are (hashes, counts, weights, starts) of blocks. A shingle that occurs c times is c features of
-    its weight per occurrence, so shared weight is one product of 0/1 matrices over the features of both.
+    All texts order features alike, by the cells of seen and then by hash. A text shares at least threshold times its
+    own weight with a partner, so the first feature both have lies where no more than the rest stands before it.
     """
+    doc, f, w, total = occurrences(b)
+    order = np.lexsort((f, seen[(f % np.uint64(CELLS)).astype(np.int64)], doc))
+    doc, f, w = doc[order], f[order], w[order]
+    sums = np.concatenate([[0.0], np.cumsum(w)])
+    before = sums[:-1] - sums[np.searchsorted(doc, doc)]
+    keep = before <= (1 - threshold) * total[doc] + 1e-6
+    return doc[keep], f[keep], total[doc[keep]]
 
-    def spread(b):
-        h, c, w, at = b
-        doc = np.repeat(np.repeat(np.arange(len(at) - 1), np.diff(at)), c)
-        nth = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
-        with np.errstate(over="ignore"):
-            f = mix64(np.repeat(h, c) + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        return doc, f, np.repeat(w / c, c), np.array([w[i:j].sum() for i, j in zip(at[:-1], at[1:], strict=True)])
 
-    (dx, fx, wx, tx), (dy, fy, _, ty) = spread(x), spread(y)
+def regroup(open_: DataFrame, texts: DataFrame, weights: Weights, threshold: float) -> DataFrame:
+    """(key, id, label, total, n): members (key, id, label) of very large buckets, grouped by their rarest features.
+
+    The order of features comes from a sketch of CELLS counts, 4 MB; a blurred count changes the order for all alike
+    and loses nothing. Of features that the same members share one is kept. Groups of one label go.
+    """
+    ids = cut(open_.select("id", "label").distinct())
+    held = texts.join(F.broadcast(ids) if ids.count() <= _BROADCAST_ROWS else ids, "id").select("id", "label", "text")
+    sc = open_.sparkSession.sparkContext
+    shared = sc.broadcast(weights)
+
+    def parts(pdf: pd.DataFrame, table: WordTable) -> Iterator[tuple[int, int, tuple]]:
+        texts_ = pdf["text"].tolist()
+        for a, b in chunks(texts_):
+            table.room()
+            yield a, b, shingles(texts_[a:b], table, shared.value)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table, n = WordTable(), np.zeros(CELLS, np.int64)
+        for pdf in batches:
+            for _, _, b in parts(pdf, table):
+                cell, k = np.unique(occurrences(b)[1] % np.uint64(CELLS), return_counts=True)
+                n[cell.astype(np.int64)] += k
+        cell = np.flatnonzero(n)
+        yield pd.DataFrame({"cell": cell, "n": n[cell]})
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        n = np.zeros(_CELL_BLOCK, np.float32)
+        n[pdf["cell"].to_numpy() % _CELL_BLOCK] = pdf["n"].to_numpy()
+        return pd.DataFrame({"block": [int(pdf["cell"].iloc[0]) // _CELL_BLOCK], "n": [n.tobytes()]})
+
+    cells = frugal(held).mapInPandas(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    seen = np.zeros((CELLS // _CELL_BLOCK, _CELL_BLOCK), np.float32)
+    for r in cells.groupBy(F.floor(F.col("cell") / _CELL_BLOCK)).applyInPandas(pack, "block int, n binary").collect():
+        seen[r["block"]] = np.frombuffer(r["n"], np.float32)
+    rank = sc.broadcast(seen.ravel())
+
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = WordTable()
+        for pdf in batches:
+            for a, _, b in parts(pdf, table):
+                doc, f, total = rarest(b, rank.value, threshold)
+                at = doc + a
+                yield pd.DataFrame({"key": signed(f), "id": pdf["id"].to_numpy()[at], "label": pdf["label"].to_numpy()[at], "total": total})
+        table.clear()
+        give_back()
+
+    posts = cut(frugal(held).mapInPandas(pick, "key bigint, id bigint, label bigint, total double"))
+    mark = lambda *c: F.xxhash64(*c).cast("decimal(20,0)")
+    aggs = {"n": (F.sum, F.lit(1).cast("bigint")), "lo": (F.min, F.col("label")), "hi": (F.max, F.col("label")), "s1": (F.sum, mark("id")), "s2": (F.sum, mark("id", F.lit(1)))}
+    rows, facts = group_facts(posts, ["key"], F.col("id"), aggs, salts=16)
+    facts = cut(facts.where("lo < hi").select("key", "_salt", "n", "s1", "s2"))
+    one = facts.groupBy("n", "s1", "s2").agg(F.min("key").alias("key")).select("key")
+    return rows.join(facts.join(one, "key", "left_semi"), ["key", "_salt"]).select("key", "id", "label", "total", "n")
+
+
+def block_links(x: tuple, y: tuple, threshold: float) -> np.ndarray:
+    """The pairs of rows (i of x, j of y) whose weighted Jaccard reaches the threshold.
+
+    x and y are (hashes, counts, weights, starts) of blocks. Shared weight is one product of 0/1 matrices over
+    the features of both.
+    """
+    (dx, fx, wx, tx), (dy, fy, _, ty) = occurrences(x), occurrences(y)
     both, first = np.unique(fx, return_index=True)
     keep = np.isin(both, fy)
     both, weight = both[keep], wx[first[keep]]
@@ -364,8 +444,19 @@ def near_links(members: DataFrame, texts: DataFrame, weights: Weights, threshold
     x, y = (open_.where(f"n <= {_SMALL}").select("key", *(F.col(c).alias(c + s) for c in ("id", "d", "label"))) for s in "xy")
     may = (F.col("labelx") != F.col("labely")) & (F.abs(F.col("dx") - F.col("dy")) <= 1 - threshold + 1e-9) & (F.col("idx") < F.col("idy"))
     pairs = cut(x.join(y, "key").where(may).select(F.col("idx").alias("a"), F.col("idy").alias("b")).distinct())
+    large = open_.where(f"n > {_SMALL}").select("key", "id", "label")
+    sizes = large.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    vast = cut(large.join(sizes.where(F.col("m") > _REGROUP), "key", "left_semi"))
+    if vast.limit(1).count():
+        large = large.join(sizes.where(F.col("m") <= _REGROUP), "key", "left_semi")
+        met = cut(regroup(vast, texts, weights, threshold))
+        large = large.unionByName(met.where(f"n > {_SMALL}").select("key", "id", "label"))
+        x, y = (met.where(f"n <= {_SMALL}").select("key", *(F.col(c).alias(c + s) for c in ("id", "label", "total"))) for s in "xy")
+        near = F.least("totalx", "totaly") >= threshold * F.greatest("totalx", "totaly") - 1e-6
+        more = x.join(y, "key").where((F.col("labelx") != F.col("labely")) & (F.col("idx") < F.col("idy")) & near)
+        pairs = cut(pairs.unionByName(more.select(F.col("idx").alias("a"), F.col("idy").alias("b"))).distinct())
     found = verify(pairs, texts, weights).where(F.col("sim") >= threshold).select("a", "b")
-    found = cut(found.unionByName(large_links(open_.where(f"n > {_SMALL}").select("key", "id", "label"), texts, weights, threshold)))
+    found = cut(found.unionByName(large_links(large, texts, weights, threshold)))
     if found.limit(1).count() == 0:
         return labels
     return components(labels.select(F.col("label").alias("a"), F.col("id").alias("b")).union(found))

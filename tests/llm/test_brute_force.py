@@ -71,10 +71,11 @@ def test_near_classes(spark, seed):
     assert [got[i] for i in range(len(texts))] == classes(docs, near_dedup.Weights.learn(docs, "text"), texts)
 
 
-@pytest.mark.parametrize("block", [512, 10])
-def test_large_bucket(spark, monkeypatch, block):
-    """A bucket over the small limit with several classes inside is compared block against block."""
+@pytest.mark.parametrize("block,most", [(512, 10_000), (10, 10_000), (10, 20)])
+def test_large_bucket(spark, monkeypatch, block, most):
+    """A bucket over the small limit with several classes inside is compared block against block, a larger one by rare shingles."""
     monkeypatch.setattr(near_dedup, "_BLOCK_DOCS", block)
+    monkeypatch.setattr(near_dedup, "_REGROUP", most)
     rng = random.Random(9)
     base = [f"b{i}" for i in range(120)]
     texts = []
@@ -93,6 +94,30 @@ def test_large_bucket(spark, monkeypatch, block):
     assert [got.get(i, i) for i in range(len(texts))] == want and len(set(want)) > 1
 
 
+def test_rarest_features_meet():
+    """Texts that reach the threshold share a rare feature, whatever the counts say; boilerplate alone shares none."""
+    texts = corpus(5)
+    weights, table = near_dedup.Weights(np.random.default_rng(1).uniform(0, 1, 2 * near_dedup.CELLS)), WordTable(10**9)
+    sets = [near_dedup.shingles([t], table, weights) for t in texts]
+    for seen in (np.zeros(near_dedup.CELLS, np.float32), np.random.default_rng(2).integers(0, 9, near_dedup.CELLS).astype(np.float32)):
+        rare = [set(near_dedup.rarest(s, seen, near_dedup.THRESHOLD)[1].tolist()) for s in sets]
+        near = [(a, b) for a, b in combinations(range(len(texts)), 2) if near_dedup.similarity(sets[a][:3], sets[b][:3]) >= near_dedup.THRESHOLD]
+        assert near and all(rare[a] & rare[b] for a, b in near)
+
+
+def test_regroup_of_boilerplate(spark):
+    """A bucket that only boilerplate fills leaves no group; two near copies in it meet."""
+    rng = random.Random(3)
+    shared = [f"b{i}" for i in range(60)]
+    texts = [" ".join(shared + [f"u{rng.randrange(10**9)}" for _ in range(60)]) for _ in range(40)]
+    texts.append(texts[7] + " end")
+    docs = frame(spark, texts)
+    weights = near_dedup.Weights.learn(docs, "text")
+    members = docs.select(F.lit(1).cast("long").alias("key"), F.col("doc_id").alias("id"), F.col("doc_id").alias("label"))
+    got = near_dedup.regroup(members, docs.select(F.col("doc_id").alias("id"), "text"), weights, near_dedup.THRESHOLD).collect()
+    assert {r.id for r in got} == {7, 40} and {r.n for r in got} == {2}
+
+
 def test_sampler_estimates_weighted_jaccard():
     rng = np.random.default_rng(4)
     h = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
