@@ -54,3 +54,14 @@ def test_semantic_dedup_reads_whole_texts(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.ord: (r.action, r.similar_to) for r in QUERIES["semantic_dedup"](spark, str(tmp_path)).collect()}
     assert got == {0: ("keep", None), 1: ("keep", None), 2: ("drop", "https://s0.example.org/a/0")}
+
+
+def test_html_metadata_decodes_as_its_sql(spark, tmp_path):
+    titles = ["of.&&&amp", "a &amp;amp b &amp;lt; c", "x &copy; &eacute &lt;b&gt; &quot;q&quot; &#39;r&#39; &#x41;", "  a &nbsp; b\u00a0 ", ""]
+    pages = [(i, f"https://a.test/{i}", f'<html><title>{t}</title><meta name="author" content="{t}"></html>') for i, t in enumerate(titles)] + [(9, None, None)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    got = QUERIES["html_metadata"](spark, str(tmp_path)).toPandas()
+    assert rows(got) == rows(con.sql(ORACLE["html_metadata"]).df())
+    assert dict(zip(got.page_id, got.title))[0] == "of.&&&amp"
