@@ -47,16 +47,16 @@ def fallback_report(items: DataFrame, run_date: str, reason: str) -> DataFrame:
     return parts.select(F.rtrim(F.regexp_replace(F.concat(head, *body, F.lit("\n## 链接汇总\n\n"), F.col("links")), r"\s+\z", "")).alias("markdown"))
 
 
-def pushed_items(reports: DataFrame, items: DataFrame, markdown: str = "markdown") -> DataFrame:
+def pushed_items(reports: DataFrame, items: DataFrame, markdown: str = "markdown", last: Column | str = "ord") -> DataFrame:
     """(report, pos, url, title, origin, raw): the links of each report in order, as the items' own URLs.
 
-    reports: (report, markdown). A link is an item's if they agree without trailing slashes, the last item
-    winning; a link of no item stays with an empty title. A report without links has all items.
+    reports: (report, markdown). A link is an item's if they agree without trailing slashes, the last item (by
+    ``last``) winning; a link of no item stays with an empty title. A report without links has all items.
     """
     bare = lambda c: F.regexp_replace(c, "/+$", "")
     good = items.where(F.coalesce("url", F.lit("")) != "")
-    by_bare = good.groupBy(bare(F.col("url")).alias("_bare")).agg(F.max_by("url", "ord").alias("_url"))
-    by_url = good.groupBy(F.col("url")).agg(F.max_by(F.struct("title", "origin", "raw"), "ord").alias("_item"))
+    by_bare = good.groupBy(bare(F.col("url")).alias("_bare")).agg(F.max_by("url", last).alias("_url"))
+    by_url = good.groupBy(F.col("url")).agg(F.max_by(F.struct("title", "origin", "raw"), last).alias("_item"))
     links = reports.select("report", F.posexplode(extract_urls(markdown)).alias("at", "link"))
     mapped = links.join(by_bare, bare(F.col("link")) == F.col("_bare"), "left").select("report", "at", F.coalesce("_url", "link").alias("url"))
     none = reports.where(F.size(extract_urls(markdown)) == 0).select("report")

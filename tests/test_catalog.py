@@ -65,3 +65,14 @@ def test_html_metadata_decodes_as_its_sql(spark, tmp_path):
     got = QUERIES["html_metadata"](spark, str(tmp_path)).toPandas()
     assert rows(got) == rows(con.sql(ORACLE["html_metadata"]).df())
     assert dict(zip(got.page_id, got.title))[0] == "of.&&&amp"
+
+
+def test_pushed_items_join_picks_as_its_sql(spark, tmp_path):
+    base = "https://a.test/p"
+    urls = [base, f"{base}/", f"{base}//", base, "https://a.test/q#top", "https://a.test/q#top", "https://a.test/r.", f"{base}/", "https://b.test/?x=1", "https://b.test", "https://b.test/"]
+    pages = [(i * 50 + (i % 2) + 100 * (i == 3), u, "") for i, u in enumerate(urls)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    got = QUERIES["pushed_items_join"](spark, str(tmp_path)).toPandas()
+    assert rows(got) == rows(con.sql(ORACLE["pushed_items_join"]).df())
