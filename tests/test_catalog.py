@@ -76,3 +76,17 @@ def test_pushed_items_join_picks_as_its_sql(spark, tmp_path):
     con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
     got = QUERIES["pushed_items_join"](spark, str(tmp_path)).toPandas()
     assert rows(got) == rows(con.sql(ORACLE["pushed_items_join"]).df())
+
+
+def test_similar_pairs_reads_whole_texts(spark, tmp_path):
+    """Texts that agree in their first lines and 200 characters alone are not linked; copies are one class."""
+    words = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    texts = [words("head", 60) + "\n" + words("tail", 1500), words("head", 60) + "\n" + words("rest", 1500), words("lead", 60) + "\n" + words("tail", 1500), None, "", words("head", 60) + "\n" + words("tail", 1500), "ab c"]
+    docs = [(i, t, "en", f"s{i}", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = QUERIES["similar_pairs"](spark, str(tmp_path)).toPandas()
+    assert rows(got) == rows(con.sql(ORACLE["similar_pairs"]).df())
+    by = {r.doc_id: (r.class_id, r.n_links) for r in got.itertuples()}
+    assert by == {0: (0, 2), 1: (1, 0), 2: (2, 2), 3: (3, 0), 4: (4, 0), 5: (0, 2), 6: (6, 0)}
